@@ -79,7 +79,7 @@ ORACLE = {
         with recursive w as (
             select doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} as l from documents
         ), s as (
-            select distinct doc_id, unnest(case when len(l) > 1 then list_transform(range(1, len(l)), i -> l[i] || ' ' || l[i + 1]) else l end) as sh from w
+            select distinct doc_id, unnest(case when len(l) > 1 then list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1]) else l end) as sh from w
         ), n as (select doc_id, count(*) as n from s group by 1),
         pairs as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
         links as (select a, b from pairs join n x on a = x.doc_id join n y on b = y.doc_id where 100 * k >= 80 * (x.n + y.n - k)),
