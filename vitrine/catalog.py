@@ -3,10 +3,299 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitrine.functions import ids, text, time, url
+from vitrine.operators import groups
+from vitrine.operators.asof import nearest
+from vitrine.plans import index
+from vitrine.sources.synthetic import SQL, captures, references
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+_WITH = f"with {SQL}"
+_MD5 = "row(ts, length(url), md5(url))"
+_SIZED = "width >= 51 and height >= 51 and width * height <= 225000000"
+_TOKENS = r"trim(regexp_replace(page_url, '[[:punct:]\x08]+', ' ', 'g'))"
+_T = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _query(oracle: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _pages(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet")
+
+
+def _dense(spark, d):
+    return groups.size_window(captures(spark, d, dense=True))
+
+
+def _refs(spark, d):
+    return groups.with_metadata(references(spark, d))
+
+
+def _text(ts):
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+@_query(r"select page_id, regexp_replace(regexp_replace(url, '[[:punct:]\x08]+$', ''), '[[:punct:]\x08]+', ' ', 'g') as tokens from pages")
+def tokens_page_url(spark, d):
+    return _pages(spark, d).select("page_id", url.url_tokens(F.col("url")).alias("tokens"))
+
+
+@_query(r"select page_id, regexp_replace(regexp_replace(url_decode(replace(url, '+', ' ')), '[[:punct:]\x08]+$', ''), '[[:punct:]\x08]+', ' ', 'g') as tokens from pages")
+def tokens_decoded(spark, d):
+    return _pages(spark, d).select("page_id", url.decoded_url_tokens(F.col("url")).alias("tokens"))
+
+
+@_query(r"""with p as (select page_id, regexp_replace(regexp_replace(url, '^(//|https://|http://)', ''), '^(www[.]|ww2[.]|ww3[.])', '') as bare from pages),
+q as (select page_id, lower(regexp_extract(bare, '^([^/?#:]*)', 1)) as host, regexp_replace(regexp_extract(bare, '^[^/?#:]*(.*)$', 1), '#.*$', '') as rest from p)
+select page_id, '(' || array_to_string(list_reverse(string_split(host, '.')), ',') || ',)' || case when starts_with(rest, '/') then rest else '/' || rest end as surt from q""")
+def surt_pages(spark, d):
+    return _pages(spark, d).select("page_id", url.to_surt(F.col("url")).alias("surt"))
+
+
+@_query("select page_id, regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) as host, regexp_extract(url, '^([a-z]+):', 1) as protocol from pages")
+def host_protocol(spark, d):
+    return _pages(spark, d).select("page_id", url.host(F.col("url")).alias("host"), url.protocol(F.col("url")).alias("protocol"))
+
+
+@_query(r"""select page_id, nullif(regexp_replace(regexp_replace(regexp_replace(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '\.[^.]*$', ''), '[[:punct:]]+$', ''), '[[:punct:]]+', ' ', 'g'), '') as filename from pages""")
+def filename(spark, d):
+    return _pages(spark, d).select("page_id", url.image_filename(F.col("url")).alias("filename"))
+
+
+@_query(r"select count(*) as n_links, count(*) filter (lower(regexp_extract(regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1), '\.([^./]*)$', 1)) in ('jpg','jpeg','png','tif','tiff','gif','svg','webp','bmp','ico')) as n_images from (select unnest([url, url || '.png', url || '.PNG?x=1', url || '.html']) as u from pages)")
+def image_link_filter(spark, d):
+    u = _pages(spark, d).select(F.explode(F.array("url", *[F.concat("url", F.lit(x)) for x in (".png", ".PNG?x=1", ".html")])).alias("u"))
+    return u.agg(F.count(F.lit(1)).alias("n_links"), F.count_if(url.links_to_image(F.col("u"))).alias("n_images"))
+
+
+@_query("""select page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) as href from pages""")
+def page_anchor_explode(spark, d):
+    return _pages(spark, d).select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))).alias("href"))
+
+
+@_query("""select page_id, len(regexp_extract_all(html || ' url(''a.png'') url(b.gif) ', 'url\\([''"]*(.*?)[''"]*\\)', 1))::bigint as n_urls from pages""")
+def css_url_extract(spark, d):
+    html = F.concat("html", F.lit(" url('a.png') url(b.gif) "))
+    return _pages(spark, d).select("page_id", F.size(F.regexp_extract_all(html, F.lit("url\\(['\"]*(.*?)['\"]*\\)"), F.lit(1))).cast("long").alias("n_urls"))
+
+
+@_query("select event_id, strftime(date_trunc('second', ts), '%Y%m%d%H%M%S') as ts14, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') as from12, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as from16, null::varchar as bad from events")
+def ts14_parse_format(spark, d):
+    t = spark.read.parquet(f"{d}/events.parquet").withColumn("s", time.format_ts14(F.col("ts")))
+    parsed = lambda c: _text(time.parse_ts14(c))
+    return t.select("event_id", F.col("s").alias("ts14"), parsed(F.substring("s", 1, 12)).alias("from12"), parsed(F.concat("s", F.lit("99"))).alias("from16"), parsed(F.concat("s", F.lit("9"))).alias("bad"))
+
+
+@_query("select event_id, case when second(ts) = 0 then strftime(ts, '%Y-%m-%dT%H:%M') else strftime(ts, '%Y-%m-%dT%H:%M:%S') end as iso from events")
+def iso_ts(spark, d):
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", time.iso_text(F.col("ts")).alias("iso"))
+
+
+@_query(f"{_WITH} select event_id, m from pg")
+def image_metadata_key(spark, d):
+    return _refs(spark, d).select("event_id", "m")
+
+
+@_query(f"{_WITH} select event_id, strftime(page_ts, '%Y%m%d%H%M%S') || '/' || md5(page_url) || '/' || md5(m) || '/x' as ref_id, strftime(page_ts, '%Y%m%d%H%M%S') || '/' || page_url as url_ts from pg")
+def reference_ids(spark, d):
+    return _refs(spark, d).select("event_id", ids.reference_id(F.col("page_ts"), F.col("page_url"), F.col("m"), F.lit("x")).alias("ref_id"), ids.url_with_ts(F.col("page_ts"), F.col("page_url")).alias("url_ts"))
+
+
+@_query("select doc_id, sha256(text) as sha, md5(text) as md5 from documents")
+def sha256_md5(spark, d):
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", ids.sha256_hex(F.col("text")).alias("sha"), ids.md5_hex(F.col("text")).alias("md5"))
+
+
+@_query(r"""with h as (select doc_id, text, substr(text, 1, 125) as head, right(text, 125) as tail from documents),
+c as (select *, strpos(reverse(head), ' ') as a, strpos(tail, ' ') as b from h)
+select doc_id, case when length(text) > 250 then case when a > 0 then substr(head, 1, 125 - a) else head end || chr(10) ||
+ regexp_replace(case when b > 0 then substr(tail, b) else right(text, 126) end, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') else text end as caption from c""")
+def trim_caption(spark, d):
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.trim_caption(F.col("text")).alias("caption"))
+
+
+@_query("select doc_id, text as repaired from documents where not regexp_matches(text, '[^\u0000-ÿ]')")
+def mojibake(spark, d):
+    t = spark.read.parquet(f"{d}/documents.parquet").filter("not text rlike '[^\\\\x{0}-\\\\x{ff}]'")
+    return t.select("doc_id", text.fix_mojibake(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).alias("repaired"))
+
+
+@_query(f"{_WITH} select warc_offset, width, height from img where {_SIZED}")
+def size_filter(spark, d):
+    return groups.size_window(captures(spark, d)).select("warc_offset", "width", "height")
+
+
+@_query(f"{_WITH} select surt, count(distinct digest) as n_digests, count(*) as n_captures from img_dense where {_SIZED} group by 1")
+def distinct_images(spark, d):
+    return groups.distinct_images(_dense(spark, d)).groupBy("surt").agg(F.count(F.lit(1)).alias("n_digests"), F.sum("captures").alias("n_captures"))
+
+
+@_query(f"{_WITH} select surt, digest, arg_min(url, {_MD5}) as url, arg_min(warc_offset, {_MD5}) as warc_offset, {_T.format('min(ts)')} as first_ts from img_dense where {_SIZED} group by 1, 2")
+def canonical_capture(spark, d):
+    return groups.distinct_images(_dense(spark, d)).select("surt", "digest", "url", "warc_offset", _text("first_ts").alias("first_ts"))
+
+
+@_query(f"{_WITH} select surt, digest, date_diff('second', min(ts), max(ts)) as timespan, {_T.format('max(ts)')} as last_ts, string_agg(distinct strftime(ts, '%Y%m%d%H%M%S'), ',' order by strftime(ts, '%Y%m%d%H%M%S')) as timestamps from img_dense where {_SIZED} group by 1, 2")
+def capture_timespan(spark, d):
+    return groups.distinct_images(_dense(spark, d)).select("surt", "digest", "timespan", _text("last_ts").alias("last_ts"), F.array_join(F.transform("timestamps", time.format_ts14), ",").alias("timestamps"))
+
+
+@_query(f"{_WITH} select surt, m, count(*) as n from pg group by 1, 2")
+def distinct_refs(spark, d):
+    return groups.distinct_references(_refs(spark, d)).select("surt", "m", F.col("references").alias("n"))
+
+
+@_query(f"{_WITH} select surt, m, arg_min(page_url, row(page_ts, length(page_url), page_url)) as page_url, {_T.format('min(page_ts)')} as page_ts, {_T.format('max(page_ts)')} as newest_ts, date_diff('second', min(page_ts), max(page_ts)) as page_timespan from pg group by 1, 2")
+def canonical_page(spark, d):
+    return groups.distinct_references(_refs(spark, d)).select("surt", "m", "page_url", _text("page_ts").alias("page_ts"), _text("newest_ts").alias("newest_ts"), "page_timespan")
+
+
+@_query(f"{_WITH}, i as (select surt, count(*) as matching_images, count(distinct digest) as unique_digests, min(ts) as o from img_dense where {_SIZED} group by 1), r as (select surt, count(*) as matching_pages, count(distinct m) as image_metadata_changes from pg group by 1) select surt, matching_images, unique_digests, matching_pages, image_metadata_changes, {_T.format('o')} as oldest_date from i join r using (surt)")
+def matching_counts(spark, d):
+    out = groups.group_statistics(_dense(spark, d), _refs(spark, d))
+    return out.select("surt", "matching_images", "unique_digests", "matching_pages", "image_metadata_changes", _text("oldest_date").alias("oldest_date"))
+
+
+@_query(f"{_WITH} select surt, 1 + count(*) filter (tokens <> held) as page_metadata_changes from (select surt, {_TOKENS} as tokens, first_value({_TOKENS}) over (partition by surt, m order by page_ts, length(page_url), page_url) as held from pg) group by 1")
+def page_metadata_changes(spark, d):
+    return groups.page_metadata_changes(_refs(spark, d))
+
+
+@_query(f"{_WITH}, o as (select surt, min(ts) as t from img_dense where {_SIZED} group by 1) select digest, arg_min(surt, row(t, -length(surt), surt)) as oldest_surt from (select distinct surt, digest from img_dense where {_SIZED}) join o using (surt) group by 1")
+def oldest_surt(spark, d):
+    i = _dense(spark, d)
+    dates = i.groupBy("surt").agg(F.min("ts").alias("oldest_date"))
+    return groups.oldest_surt(i.select("surt", "digest").distinct().join(dates, "surt"), "digest").select("digest", "oldest_surt")
+
+
+@_query(f"{_WITH} select surt, event_id from pg qualify row_number() over (partition by surt order by page_ts, event_id) <= 500")
+def cap_500(spark, d):
+    return groups.cap(references(spark, d), "surt", ["page_ts", "event_id"]).select("surt", "event_id")
+
+
+@_query(f"{_WITH}, r as (select surt, m, arg_min(img_title, o) as t, arg_min(img_alt, o) as a, arg_min(img_caption, o) as c from (select *, row(page_ts, length(page_url), page_url, img_title, img_alt, img_caption) as o from pg) group by 1, 2) select surt, array_to_string(list(t order by m) filter (t <> ''), '|') as titles, array_to_string(list(a order by m) filter (a <> ''), '|') as alts, array_to_string(list(c order by m) filter (c <> ''), '|') as captions from r group by 1")
+def ordered_lists(spark, d):
+    out = groups.ordered_lists(groups.distinct_references(_refs(spark, d)), "surt")
+    return out.select("surt", *[F.array_join(f"img_{c}", "|").alias(c) for c in ("titles", "alts", "captions")])
+
+
+@_query(f"{_WITH} select surt, arg_min(page_url, row(m, page_ts, length(page_url), page_url)) as page_url from pg group by 1")
+def rep_page(spark, d):
+    return groups.representative_page(groups.distinct_references(_refs(spark, d)), "surt").select("surt", "page_url")
+
+
+_MAGNITUDE = "case when year({0}) <> year({1}) then year({0}) - year({1}) when month({0}) <> month({1}) then month({0}) - month({1}) when day({0}) <> day({1}) then day({0}) - day({1}) else sign(epoch({0}) - epoch({1})) end"
+_LATER = {True: "epoch(a) - epoch(page_ts) < epoch(page_ts) - epoch(b)", False: f"{_MAGNITUDE.format('a', 'page_ts')} < {_MAGNITUDE.format('page_ts', 'b')}"}
+
+
+def _asof_sql(by_duration: bool) -> str:
+    return f"""{_WITH}, t as (select distinct surt, ts from img where {_SIZED}),
+        f as (select pg.*, t.ts as b from pg asof left join t on pg.surt = t.surt and pg.page_ts >= t.ts),
+        c as (select f.*, t.ts as a from f asof left join t on f.surt = t.surt and f.page_ts <= t.ts)
+        select event_id, {_T.format("case when b is null then a when a is null then b when " + _LATER[by_duration] + " then a else b end")} as matched from c where a is not null or b is not null"""
+
+
+def _asof(spark, d, by_duration):
+    out = nearest(references(spark, d), groups.size_window(captures(spark, d)).select("surt", "ts"), "surt", by_duration)
+    return out.select("event_id", _text("matched").alias("matched"))
+
+
+@_query(_asof_sql(False))
+def asof_compat(spark, d):
+    return _asof(spark, d, False)
+
+
+@_query(_asof_sql(True))
+def asof_true(spark, d):
+    return _asof(spark, d, True)
+
+
+_HALF_I, _HALF_R = "surt < 'src15'", "surt > 'src12'"
+
+
+@_query(f"{_WITH} select surt, n_img, n_ref from (select surt, count(*) as n_img from img where {_HALF_I} group by 1) join (select surt, count(*) as n_ref from pg where {_HALF_R} group by 1) using (surt)")
+def cogroup_inner(spark, d):
+    i = captures(spark, d).filter(_HALF_I).groupBy("surt").agg(F.count(F.lit(1)).alias("n_img"))
+    return i.join(references(spark, d).filter(_HALF_R).groupBy("surt").agg(F.count(F.lit(1)).alias("n_ref")), "surt")
+
+
+@_query(f"{_WITH} select surt, warc_offset from img where {_HALF_I} and surt not in (select surt from pg where {_HALF_R})")
+def one_sided_images(spark, d):
+    return groups.one_sided(captures(spark, d).filter(_HALF_I), references(spark, d).filter(_HALF_R)).select("surt", "warc_offset")
+
+
+@_query(f"{_WITH} select surt, event_id from pg where {_HALF_R} and surt not in (select surt from img where {_HALF_I})")
+def one_sided_refs(spark, d):
+    return groups.one_sided(references(spark, d).filter(_HALF_R), captures(spark, d).filter(_HALF_I)).select("surt", "event_id")
+
+
+_FLOW = f"""{_WITH}, ii as (select * from img_dense where {_SIZED}),
+    si as (select surt, digest, ts from ii group by all),
+    sp as (select surt, m, arg_min(page_url, o) as page_url, min(page_ts) as page_ts, arg_min(images_in_page, o) as images_in_page, count(*) as n from (select *, row(page_ts, length(page_url), page_url) as o from pg) where surt in (select surt from ii) group by 1, 2),
+    t1 as (select distinct surt, ts from si),
+    f1 as (select sp.*, t1.ts as b from sp asof left join t1 on sp.surt = t1.surt and sp.page_ts >= t1.ts),
+    c1 as (select f1.*, t1.ts as a from f1 asof left join t1 on f1.surt = t1.surt and f1.page_ts <= t1.ts),
+    m1 as (select surt, m, page_url, page_ts, images_in_page, n, case when b is null then a when a is null then b when {_LATER[False]} then a else b end as matched from c1),
+    split as (select m1.*, digest from m1 join si on m1.surt = si.surt and m1.matched = si.ts),
+    dp as (select digest, m, arg_min(page_url, row(page_ts, length(page_url), page_url)) as page_url, min(page_ts) as page_ts, arg_min(images_in_page, row(page_ts, length(page_url), page_url)) as images_in_page, sum(n)::bigint as n from split group by 1, 2),
+    st as (select surt, mi, mp, o from (select surt, count(*) as mi, min(ts) as o from ii group by 1) join (select surt, count(*) as mp from pg group by 1) using (surt)),
+    ds as (select digest, sum(mi)::bigint as matching_images, sum(mp)::bigint as matching_pages, arg_min(surt, row(o, -length(surt), surt)) as oldest_surt from (select distinct surt, digest from ii) join st using (surt) group by 1),
+    di as (select digest, arg_min(url, {_MD5}) as url, min(ts) as first_ts, max(ts) as last_ts, count(distinct ts) as n_timestamps from ii where surt in (select surt from st) group by 1)"""
+
+
+def _index(spark, d):
+    return index.build(captures(spark, d, dense=True), references(spark, d))
+
+
+@_query(f"{_FLOW} select surt, digest, m, page_url, {_T.format('matched')} as matched from split")
+def digest_split(spark, d):
+    return _index(spark, d).split.select("surt", "digest", "m", "page_url", _text("matched").alias("matched"))
+
+
+@_query(f"{_FLOW} select digest, url, {_T.format('first_ts')} as first_ts, {_T.format('last_ts')} as last_ts, n_timestamps, matching_images, matching_pages, oldest_surt from di join ds using (digest)")
+def digest_merge(spark, d):
+    ix = _index(spark, d)
+    out = ix.digest_images.join(ix.digest_stats, "digest")
+    return out.select("digest", "url", _text("first_ts").alias("first_ts"), _text("last_ts").alias("last_ts"), F.size("timestamps").cast("long").alias("n_timestamps"), "matching_images", "matching_pages", "oldest_surt")
+
+
+@_query(f"""{_FLOW}, t2 as (select distinct digest, ts from ii), f2 as (select dp.*, t2.ts as b from dp asof left join t2 on dp.digest = t2.digest and dp.page_ts >= t2.ts),
+    c2 as (select f2.*, t2.ts as a from f2 asof left join t2 on f2.digest = t2.digest and f2.page_ts <= t2.ts)
+    select digest, m, page_url, n as references, {_T.format("case when b is null then a when a is null then b when " + _LATER[False] + " then a else b end")} as matched from c2""")
+def rematch(spark, d):
+    return _index(spark, d).digest_refs.select("digest", "m", "page_url", "references", _text("matched").alias("matched"))
+
+
+@_query(f"{_FLOW} select digest, 'image' as kind, strftime(first_ts, '%Y%m%d%H%M%S') || '/' || md5(url) as id from di union all select digest, 'page', strftime(page_ts, '%Y%m%d%H%M%S') || '/' || md5(page_url) || '/' || md5(m) || '/' || digest from dp")
+def full_docs(spark, d):
+    return index.full_lines(_index(spark, d))
+
+
+@_query(f"""{_FLOW} select digest, url, {_T.format('first_ts')} as first_ts, {_T.format('last_ts')} as last_ts, p.page_url, {_T.format('p.page_ts')} as page_ts, p.images_in_page, matching_images, matching_pages, oldest_surt
+    from di join ds using (digest) join (select * from dp qualify row_number() over (partition by digest order by m) = 1) p using (digest)""")
+def compact_docs(spark, d):
+    out = index.compact(_index(spark, d))
+    return out.select("digest", "url", _text("first_ts").alias("first_ts"), _text("last_ts").alias("last_ts"), "page_url", _text("page_ts").alias("page_ts"), "images_in_page", "matching_images", "matching_pages", "oldest_surt")
+
+
+@_query(f"""{_WITH}, g as (select coalesce(i.surt, r.surt) as surt, coalesce(n_img, 0) as n_img, coalesce(n_digests, 0) as n_digests, coalesce(n_ref, 0) as n_ref
+    from (select surt, count(*) as n_img, count(distinct digest) as n_digests from img_dense where {_SIZED} and {_HALF_I} group by 1) i full join (select surt, count(*) as n_ref from pg where {_HALF_R} group by 1) r on i.surt = r.surt),
+    c as (select count(*) filter (n_img > 0 and n_ref > 0) as a, coalesce(sum(n_img) filter (n_ref > 0), 0) as b, coalesce(sum(n_ref) filter (n_img > 0), 0) as c, coalesce(sum(n_digests) filter (n_ref > 0), 0) as d, count(*) filter (n_digests > 1 and n_ref > 0) as e,
+    count(*) filter (n_ref = 0) as f, coalesce(sum(n_img) filter (n_ref = 0), 0) as g, count(*) filter (n_img = 0) as h, coalesce(sum(n_ref) filter (n_img = 0), 0) as i from g)
+    select unnest(['URL_IMAGES_PAGES', 'URL_IMAGESALL_PAGES', 'URL_IMAGES_PAGESALL', 'URL_IMAGES_PAGES_DIGESTALL', 'URL_IMAGES_PAGES_MULTIPLE_DIGEST', 'URL_IMAGES_NPAGES', 'URL_IMAGESALL_NPAGES', 'URL_NIMAGES_PAGES', 'URL_NIMAGES_PAGESALL']) as counter, unnest([a, b, c, d, e, f, g, h, i]::bigint[]) as value from c""")
+def counters_reduce(spark, d):
+    return index.counters(captures(spark, d, dense=True).filter(_HALF_I), references(spark, d).filter(_HALF_R))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return index.compact(_index(spark, sf_dir))
