@@ -269,7 +269,7 @@ def digest_merge(spark, d):
     return out.select("digest", "url", _text("first_ts").alias("first_ts"), _text("last_ts").alias("last_ts"), F.size("timestamps").cast("long").alias("n_timestamps"), "matching_images", "matching_pages", "oldest_surt")
 
 
-@_query(f"""{_FLOW}, t2 as (select distinct digest, ts from ii), f2 as (select dp.*, t2.ts as b from dp asof left join t2 on dp.digest = t2.digest and dp.page_ts >= t2.ts),
+@_query(f"""{_FLOW}, t2 as (select distinct digest, ts from ii where surt in (select surt from st)), f2 as (select dp.*, t2.ts as b from dp asof left join t2 on dp.digest = t2.digest and dp.page_ts >= t2.ts),
     c2 as (select f2.*, t2.ts as a from f2 asof left join t2 on f2.digest = t2.digest and f2.page_ts <= t2.ts)
     select digest, m, page_url, n as references, {_T.format("case when b is null then a when a is null then b when " + _LATER[False] + " then a else b end")} as matched from c2""")
 def rematch(spark, d):

@@ -39,7 +39,7 @@ def trim_caption(c: Column, most: int = 250) -> Column:
     tail = F.right(c, F.lit(half))
     first = F.locate(" ", tail)
     tail = F.when(first > 0, F.substring(tail, first, F.lit(half))).otherwise(F.right(c, F.lit(half + 1)))
-    return F.when(F.length(c) > most, F.concat(head, F.lit("\n"), strip(tail))).otherwise(c)
+    return F.when(F.length(c) > most, F.concat(strip(head), F.lit("\n"), strip(tail))).otherwise(c)
 
 
 def fix_mojibake(c: Column) -> Column:
