@@ -2,8 +2,8 @@
 
 The distinct word shingles of a whole text fall into BANDS * ROWS buckets; of each bucket's smallest hash the number of
 leading zeros and MANTISSA bits are kept, 2 bytes a register. Bands of ROWS registers are the candidates' keys: at a
-Jaccard similarity of 0.8 a pair misses all 40 bands with a probability of about 1e-7. Before a pair is confirmed on
-the full sets, the registers' estimate, corrected for chance collisions, must be within six standard deviations.
+Jaccard similarity of 0.8 a large pair misses all bands with a probability of 1e-5 to 1e-7; sets under SMALL shingles
+have, by size class, more bands than they can differ in, so none is missed. Before a pair is confirmed on the full sets, the registers' estimate, corrected for chance collisions, must be within six standard deviations.
 
 Equal sets are one node from the start, however many documents hold them. In a band's bucket all nodes are compared
 with the first one, confirmed links are joined into components, and then only pairs of the bucket that are still in
@@ -31,10 +31,11 @@ from vitrine.llm.components import components
 from vitrine.llm.shingles import mixed, shingle_set, words_of
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
+SMALL, STEP = 160, 1.25
 REGISTERS = BANDS * ROWS
 #: Chance that two different minima of a bucket get the same register.
 COLLISION = 2.0**-MANTISSA
-_ODD = np.random.default_rng(7).integers(0, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(7).integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -75,14 +76,42 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
+def _small_bands(size_class: int) -> int:
+    """More bands than two similar sets of this class or the next can differ in elements, so one band is untouched."""
+    return min(BANDS, int(2 * STEP ** (size_class + 2) / 9) + 2)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Band keys of sets (id, n, registers).
+
+    Sets of SMALL or more shingles have BANDS bands of ROWS registers; bands with fewer than 2 or 3 used registers say
+    too little and are left out. Sets under 1.25 * SMALL have bands by size class (their own and the next), as few as
+    the similarity allows, so that each holds several shingles.
+    """
     for b in batches:
-        if b.num_rows:
-            regs = _matrix(b.column("registers")).reshape(-1, BANDS, ROWS)
-            keys = mixed((regs.astype(np.uint64) * _ODD).sum(2, dtype=np.uint64) + mixed(np.arange(BANDS, dtype=np.uint64)))
-            row, band = np.nonzero(regs.any(2))
-            ids = b.column("id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(keys[row, band].view(np.int64)), pa.array(ids[row])], names=["band", "id"])
+        if not b.num_rows:
+            continue
+        ids, sizes, regs = b.column("id").to_numpy(), b.column("n").to_numpy(), _matrix(b.column("registers"))
+        keys, owners = [], []
+        large = np.flatnonzero(sizes >= SMALL)
+        cut = regs[large].reshape(-1, BANDS, ROWS)
+        hashed = mixed((cut.astype(np.uint64) * _ODD[:ROWS]).sum(2, dtype=np.uint64) + mixed(np.arange(BANDS, dtype=np.uint64)))
+        row, band = np.nonzero((cut != 0).sum(2) >= np.where(sizes[large] < 2 * SMALL, 2, 3)[:, None])
+        keys.append(hashed[row, band])
+        owners.append(ids[large][row])
+        small = np.flatnonzero(sizes < STEP * SMALL)
+        own = np.floor(np.log(sizes[small]) / np.log(STEP) + 1e-9).astype(int)
+        for shift in (0, 1):
+            for size_class in np.unique(own) + shift:
+                rows = small[own + shift == size_class]
+                starts = -(-np.arange(_small_bands(size_class)) * REGISTERS // _small_bands(size_class))
+                hashed = np.add.reduceat(regs[rows].astype(np.uint64) * _ODD, starts, axis=1, dtype=np.uint64)
+                used = np.add.reduceat((regs[rows] != 0).astype(np.int64), starts, axis=1)
+                hashed = mixed(hashed + mixed(np.uint64(1000 + 100 * int(size_class)) + np.arange(len(starts), dtype=np.uint64)))
+                row, band = np.nonzero(used)
+                keys.append(hashed[row, band])
+                owners.append(ids[rows][row])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["band", "id"])
 
 
 def _likely(percent: int):
@@ -127,7 +156,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     signed = materialize(rows.mapInArrow(_signed(words), f"doc_id {kind}, doc_key long, n_shingles long, set_key binary, registers binary"), "signed")
     sets = signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min_by("doc_key", F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("doc_key"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")  # written once, so the ids stay
-    bands = sets.select("id", "registers").mapInArrow(_banded, "band long, id long")
+    bands = sets.select("id", "n", "registers").mapInArrow(_banded, "band long, id long")
     heads = bands.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     shared = materialize(bands.join(heads, "band"), "bands")
 
