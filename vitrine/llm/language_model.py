@@ -265,7 +265,7 @@ def _unpacked(blob: bytes, like: dict) -> dict:
     return out
 
 
-def _averaged(key, rows: pa.Table) -> pa.Table:
+def _averaged(key, rows):
     total, weight = None, 0
     for blob, n in zip(rows.column("blob").to_pylist(), rows.column("n").to_pylist()):
         part = np.frombuffer(blob, np.float32).astype(np.float64) * n
