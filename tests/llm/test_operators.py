@@ -71,6 +71,13 @@ def test_language_model(docs, odd):
     assert sorted(r.n_tokens for r in language_model.score(odd, F.lit(False)).collect()) == [1, 1, 9, 16, 16, 3001]
 
 
+def test_language_model_learns_from_every_text(spark):
+    ids = [i for i in range(60) if zlib.crc32(f"lm:{i}".encode()) % 16]
+    texts = spark.createDataFrame([(i, "one two three four " * 20) for i in ids], "doc_id long, text string").coalesce(1)
+    rows = language_model.score(texts, F.lit(False)).collect()
+    assert len(rows) == len(ids) and all(r.score > 0.7 * r.base_score for r in rows)
+
+
 def test_language(docs, odd, none):
     learn = fold(F.col("doc_id"), 4) != 2
     out = language_id.identify(docs, language_id.train(docs, learn), ("doc_id", "lang")).filter(fold(F.col("doc_id"), 4) == 2).collect()

@@ -6,9 +6,9 @@ TAILS classes by their last three bytes and share their class by smoothed counts
 P(word) = P(class | state) * P(word | class, state) is a distribution over all words, one unseen per tail class
 included. The state is a GRU's; it is carried across windows of WINDOW tokens through the whole text.
 
-Training is truncated back-propagation in numpy (Adagrad) on a fixed share of the training texts, SHARE of 16 by hash:
-every partition trains from the same start, where the model equals the class unigram model, and the weights are
-averaged, by tokens, in a tree. The share grows with the corpus; no weights but averages of FAN come to the driver.
+Training is truncated back-propagation in numpy (Adagrad) on all training texts: every partition trains from the same
+start, where the model equals the class unigram model, and the weights are averaged, by tokens, in a tree. No weights
+but averages of FAN come to the driver.
 
 In scoring, texts of one chunk are sorted by length and run side by side. Counts of the KNOWN most frequent words are
 sent to the tasks (a fixed number); all other words meet the counts in a join.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.common import drop_clashing, materialize
 
 HEAD, CLASS, TAILS, HIDDEN, WINDOW = 1024, 32, 32, 24, 32
-KNOWN, SHARE, EPOCHS, BATCH, RATE, FAN, CHUNK = 1 << 17, 1, 2, 48, 0.1, 64, 1_500_000
+KNOWN, EPOCHS, BATCH, RATE, FAN, CHUNK = 1 << 17, 2, 48, 0.1, 64, 1_500_000
 HEADS = HEAD // CLASS
 CLASSES, INPUTS = HEADS + TAILS, HEAD + TAILS
 END = "\n"  # no word
@@ -174,13 +174,15 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
     p[np.arange(n), _class_of(target)] -= 1
     grad["wc"], grad["bc"] = flat.T @ p, p.sum(0)
     d_flat = p @ w["wc"].T
-    grad["wo"], grad["bo"] = np.zeros_like(w["wo"]), np.zeros_like(w["bo"])
+    heads, wo, bo = [], [], []
     for k, at in _by_class(target):
         q = flat[at] @ w["wo"][k] + w["bo"][k]
         q = np.exp(q - q.max(1, keepdims=True))
         q /= q.sum(1, keepdims=True)
         q[np.arange(len(at)), target[at] % CLASS] -= 1
-        grad["wo"][k], grad["bo"][k] = flat[at].T @ q, q.sum(0)
+        heads.append(k)
+        wo.append(flat[at].T @ q)
+        bo.append(q.sum(0))
         d_flat[at] += q @ w["wo"][k].T
     d_states = np.zeros_like(states)
     d_states[at_t, at_n] = d_flat
@@ -197,13 +199,21 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
         grad["uzr"] += before.T @ dzr
         dg[t, :, : 2 * HIDDEN], dg[t, :, 2 * HIDDEN :] = dzr, dc
         dh = dh * (1 - z) + drh * r + dzr @ w["uzr"].T
-    grad["wx"] = np.zeros_like(w["wx"])
-    np.add.at(grad["wx"], x.ravel(), dg.reshape(-1, 3 * HIDDEN))
-    for k, g in grad.items():
+    order = np.argsort(x.ravel(), kind="stable")
+    sorted_x = x.ravel()[order]
+    firsts = np.flatnonzero(np.diff(sorted_x, prepend=-1))
+    rows = {"wx": sorted_x[firsts]}
+    grad["wx"] = np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
+    if heads:
+        rows["wo"] = rows["bo"] = np.array(heads)
+        grad["wo"], grad["bo"] = np.stack(wo), np.stack(bo)
+    for k, g in grad.items():  # rows left out have no gradient and stay as they are
+        at = rows.get(k, slice(None))
         g /= n
         np.clip(g, -1, 1, out=g)
-        past[k] += g * g
-        w[k] -= RATE * g / np.sqrt(past[k] + 1e-8)
+        seen = past[k][at] + g * g
+        past[k][at] = seen
+        w[k][at] -= RATE * g / np.sqrt(seen + 1e-8)
     return last
 
 
@@ -276,8 +286,8 @@ def _averaged(key, rows):
 def learn(docs: DataFrame, training: Column) -> tuple[DataFrame, Lexicon, dict[str, np.ndarray]]:
     """Counts of all words of the training texts (written to the shared folder), the lexicon, and the weights."""
     spark = docs.sparkSession
-    texts = docs.filter(training).select(F.col("text").cast("binary").alias("text"), F.coalesce(F.crc32(F.concat(F.lit("lm:"), F.col("doc_id").cast("string"))), F.lit(0)).alias("at"))
-    counts = materialize(word_counts(texts.select("text")), "counts")
+    texts = docs.filter(training).select(F.col("text").cast("binary").alias("text"))
+    counts = materialize(word_counts(texts), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     words = [tuple(r) for r in counts.orderBy(F.desc("c"), "word").limit(KNOWN).select("word", "tail", "c").collect()]
     sums = {r[0]: float(r[1]) for r in counts.filter(F.col("word") != END).groupBy("tail").agg(F.sum(F.col("c") + 0.1)).collect()}
@@ -291,7 +301,7 @@ def learn(docs: DataFrame, training: Column) -> tuple[DataFrame, Lexicon, dict[s
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sum(map(len, inputs))], pa.int64()), pa.array([_packed(weights)], pa.binary())], names=["part", "n", "blob"])
 
     shape = "part long, n long, blob binary"
-    made = materialize(texts.filter(F.col("at") % 16 < SHARE).select("text").mapInArrow(run, shape), "weights", "snappy")
+    made = materialize(texts.mapInArrow(run, shape), "weights", "snappy")
     while (parts := made.count()) > 1:
         made = materialize(made.withColumn("part", F.pmod("part", F.lit(max(1, parts // FAN)))).groupBy("part").applyInArrow(_averaged, shape), "weights", "snappy")
     got = made.collect()
