@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).parents[1]))
 from vitrine import catalog
 from vitrine.functions.time import iso_to_ts14, magnitude, parse_ts14
 from vitrine.functions.url import image_filename, to_surt
+from vitrine.operators import groups
 from vitrine.operators.html_refs import page_references
 from vitrine.plans import archives, index
 from vitrine.sources.synthetic import captures, references
@@ -34,6 +35,24 @@ def test_same_as_sql(spark, name):
     assert got == sorted((tuple(r[names.index(c)] for c in cols) for r in ran.fetchall()), key=repr)
 
 
+@pytest.mark.parametrize("name", ["cogroup_inner_whole", "one_sided_images_whole", "one_sided_refs_whole", "counters_reduce_whole"])
+def test_whole_views(spark, name):
+    test_same_as_sql(spark, name)
+
+
+def test_both_sides_of_all_keys(spark):
+    i, r = captures(spark, D), references(spark, D)
+    got = {x.surt: (x.n_img, x.n_ref) for x in catalog.QUERIES["cogroup_inner_whole"](spark, D).collect()}
+    n_i, n_r = ({x["surt"]: x["count"] for x in t.groupBy("surt").count().collect()} for t in (i, r))
+    assert got == {k: (n_i[k], n_r[k]) for k in n_i.keys() & n_r.keys()} and len(got) > 2
+
+
+def test_one_sided_groups(spark):
+    i = spark.createDataFrame([("src2", 1), ("src15", 2), ("both", 3)], "surt string, warc_offset long")
+    r = spark.createDataFrame([("src9", 4), ("both", 5), ("both", 6)], "surt string, event_id long")
+    assert {x.warc_offset for x in groups.one_sided(i, r).collect()} == {1, 2} and {x.event_id for x in groups.one_sided(r, i).collect()} == {4}
+
+
 def test_input_order_and_partitions_do_not_matter(spark):
     i, r = captures(spark, D, dense=True), references(spark, D)
     rows = lambda a, b: sorted(map(repr, index.compact(index.build(a, b)).collect()))

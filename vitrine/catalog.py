@@ -297,5 +297,22 @@ def counters_reduce(spark, d):
     return index.counters(captures(spark, d, dense=True).filter(_HALF_I), references(spark, d).filter(_HALF_R))
 
 
+def _add_whole(name, f):
+    """A query over the whole views beside one over key ranges, with the same SQL but for these."""
+    QUERIES[f"{name}_whole"] = f
+    ORACLE[f"{name}_whole"] = ORACLE[name].replace(_HALF_I, "true").replace(_HALF_R, "true")
+
+
+def cogroup_inner_whole(spark, d):
+    i = captures(spark, d).groupBy("surt").agg(F.count(F.lit(1)).alias("n_img"))
+    return i.join(references(spark, d).groupBy("surt").agg(F.count(F.lit(1)).alias("n_ref")), "surt")
+
+
+_add_whole("cogroup_inner", cogroup_inner_whole)
+_add_whole("one_sided_images", lambda spark, d: groups.one_sided(captures(spark, d), references(spark, d)).select("surt", "warc_offset"))
+_add_whole("one_sided_refs", lambda spark, d: groups.one_sided(references(spark, d), captures(spark, d)).select("surt", "event_id"))
+_add_whole("counters_reduce", lambda spark, d: index.counters(captures(spark, d, dense=True), references(spark, d)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.compact(_index(spark, sf_dir))
