@@ -64,6 +64,27 @@ def test_tokens(docs, odd):
     assert {r.doc_id: r.n_words for r in token_counts.count_tokens(odd).collect()}[2] == 0
 
 
+def test_tokens_of_every_word(spark, docs):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=token_counts.VOCABULARY)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+
+    def brute(word):
+        s, at, n = "▁" + word, 0, 0
+        while at < len(s):
+            end = next((e for e in range(min(len(s), at + 40), at, -1) if s[at:e] in pieces), None)
+            n += 1 if end else len(s[at].encode())
+            at = end or at + 1
+        return n
+
+    words = {"1234567", "ñado", "çç", "9" * 500, "\U0001f9ff", "a\U0001f9ffb", "\u0378x", "中文字符", "привет"} | {w for r in docs.limit(40).collect() for w in r.text.split()}
+    a = token_counts.Automaton(*token_counts.load_pieces(), *token_counts.load_fallbacks())
+    assert max(map(len, pieces)) <= 40 and {w: a.count(w) for w in words} == {w: brute(w) for w in words}
+    row = token_counts.count_tokens(spark.createDataFrame([(1, "1234567 ñado " + "9" * 500)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_tokens, row.n_unknown) == (3, sum(map(brute, ["1234567", "ñado", "9" * 500])), 0)
+
+
 def test_language_model(docs, odd):
     rows = {r.doc_id: r for r in language_model.score(docs.repartition(3), fold(F.col("doc_id"), 10) == 0).collect()}
     held = [r for r in rows.values() if r.held_out]

@@ -5,8 +5,9 @@ been cut off, and the number of pieces so cut. A word's length in pieces then is
 any piece and without going back in the text. The automaton is built once per Python worker from the vocabulary file,
 whose pieces are sent with the task; counts of seen words are kept in a bounded memo.
 
-Words are runs of other than space and tab to carriage return. A word that cannot be cut into pieces is one unknown
-piece. Defined results: null and empty texts have 0 words and pieces; repeated rows are counted alike.
+Words are runs of other than space and tab to carriage return. A word that no piece begins starts with the bare mark of
+a word's beginning, and a character without a piece counts as its bytes, if the vocabulary has these. Without them, a
+word that cannot be cut into pieces is one unknown piece. Defined results: null and empty texts have 0 words and pieces; repeated rows are counted alike.
 """
 
 from __future__ import annotations
@@ -40,10 +41,23 @@ def load_pieces(path: str = VOCABULARY) -> tuple[list[str], list[str]]:
     return first, rest
 
 
+def load_fallbacks(path: str = VOCABULARY) -> tuple[bool, bool]:
+    """Whether the bare mark of a word's beginning is a piece, and whether there is a piece for every byte."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    ids = range(model.get_piece_size())
+    return any(model.id_to_piece(i) == "▁" for i in ids), sum(model.is_byte(i) for i in ids) == 256
+
+
 class Automaton:
-    """Node 0 is the root of a word's beginning, node 1 that of its continuation."""
+    """Node 0 is the root of a word's beginning, node 1 that of its continuation.
+
+    bare: the beginning can be a piece of its own. by_bytes: a character without a piece is cut off as its bytes.
+    """
 
-    def __init__(self, first: Iterable[str], rest: Iterable[str]):
+    def __init__(self, first: Iterable[str], rest: Iterable[str], bare: bool = False, by_bytes: bool = False):
+        self.by_bytes = by_bytes
         self.next: list[dict[str, int]] = [{}, {}]
         piece = [False, False]
         for root, words in ((0, first), (1, rest)):
@@ -60,6 +74,8 @@ class Automaton:
                     piece[at] = True
         n = len(self.next)
         self.fail, self.popped = [-1] * n, [0] * n
+        if bare:
+            self.fail[0], self.popped[0] = 1, 1
         queue = deque((0, 1))
         while queue:
             u = queue.popleft()
@@ -67,11 +83,13 @@ class Automaton:
                 if piece[v]:
                     self.fail[v], self.popped[v] = 1, 1
                 else:
-                    z, cut = self.fail[u], self.popped[u]
+                    z, cut, last = self.fail[u], self.popped[u], u
                     while z >= 0 and c not in self.next[z]:
                         cut += self.popped[z]
-                        z = self.fail[z]
-                    if z >= 0:
+                        z, last = self.fail[z], z
+                    if by_bytes and z < 0 and last == 1:
+                        self.fail[v], self.popped[v] = 1, cut + len(c.encode())
+                    elif z >= 0:
                         self.fail[v], self.popped[v] = self.next[z][c], cut
                 queue.append(v)
 
@@ -83,7 +101,11 @@ class Automaton:
             to = nodes[u].get(c)
             while to is None:
                 if fail[u] < 0:
-                    return 0
+                    if u != 1 or not self.by_bytes:
+                        return 0
+                    n += len(c.encode())
+                    to = 1
+                    break
                 n += popped[u]
                 u = fail[u]
                 to = nodes[u].get(c)
@@ -125,7 +147,7 @@ class _Pieces:
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns of docs with n_words, n_tokens (an unknown word is one) and n_unknown."""
-    sent = docs.sparkSession.sparkContext.broadcast(_Pieces(load_pieces(vocabulary), vocabulary))
+    sent = docs.sparkSession.sparkContext.broadcast(_Pieces((*load_pieces(vocabulary), *load_fallbacks(vocabulary)), vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _counter(sent.value)
