@@ -107,6 +107,26 @@ def test_language(docs, odd, none):
     assert got[2] == got[3] == "und" and language_id.train(none, F.lit(True)) is None
 
 
+def test_unlike_texts_are_rejected(spark):
+    import base64
+    import random
+
+    rng = random.Random(1)
+    texts = {
+        -1: "Это длинный русский текст о погоде, городе и людях, которые живут там много лет и любят гулять по вечерам. " * 3,
+        -2: "这是一个关于天气和城市的很长的中文文本,人们在那里生活了很多年。" * 4,
+        -3: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(2000)),
+        -4: base64.b64encode(rng.randbytes(1500)).decode(),
+        -5: "Wczoraj poszliśmy do lasu, żeby zebrać grzyby i posłuchać ptaków śpiewających wśród drzew. " * 3,
+    }
+    docs = spark.read.parquet(D.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text", "lang")
+    learn = fold(F.col("doc_id"), 4) != 2
+    clean = docs.filter(~learn)
+    mixed = clean.unionByName(spark.createDataFrame([(i, t, "en") for i, t in texts.items()], docs.schema))
+    got = {r.doc_id for r in language_id.accepted(mixed, language_id.train(docs, learn)).collect()}
+    assert got == {r.doc_id for r in clean.collect()}
+
+
 def test_near_duplicates(docs, odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 2, True), (3, 3, True), (5, 5, True)]

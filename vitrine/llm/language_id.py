@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 LETTER = re.compile(r"[^\W\d_]")
 MOST, LANDMARKS, RIDGE, BATCH = 2000, 256, 1e-3, 64
+LEAST_UNKNOWN = 0.25  # no text with a smaller share of unknown n-grams is rejected
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SPACES = re.compile(rb" {2,}")
 BASE2, BASE3 = 1 << 8, (1 << 8) + (1 << 16)
@@ -42,8 +43,15 @@ def grams(text: bytes) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, languages: list[str], vocabulary: np.ndarray, weights: np.ndarray):
-        self.languages, self.vocabulary, self.weights = languages, vocabulary, weights
+    """most_unknown: the share of n-grams outside the vocabulary up to which a text counts as like the learned ones."""
+
+    def __init__(self, languages: list[str], vocabulary: np.ndarray, weights: np.ndarray, most_unknown: float = 1.0):
+        self.languages, self.vocabulary, self.weights, self.most_unknown = languages, vocabulary, weights, most_unknown
+
+    def claims(self, known: int, n: int) -> bool:
+        """Whether a text with so many n-grams, of which so many are known, is like the learned ones; in doubt it is."""
+        p = self.most_unknown
+        return n - known <= p * n + 2 * np.sqrt(n * p * (1 - p))
 
 
 def fit(samples: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
@@ -59,30 +67,36 @@ def fit(samples: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge
     marks = np.zeros((len(vocabulary), len(chosen)), np.float32)
     for j, i in enumerate(chosen):
         marks[np.searchsorted(vocabulary, samples[i][0]), j] = 1 / np.sqrt(len(samples[i][0]))
+    shared = (marks > 0).sum(1) > 1
+    landmark, unknown = set(chosen), np.zeros(len(samples))  # each text's share of n-grams that no other landmark has
     kernel = np.zeros((len(samples), len(chosen)))
     for i, (g, _) in enumerate(samples):
         at = np.minimum(np.searchsorted(vocabulary, g), len(vocabulary) - 1)
-        kernel[i] = marks[at[vocabulary[at] == g]].sum(0, dtype=np.float64) / np.sqrt(len(g))
+        at = at[vocabulary[at] == g]
+        kernel[i] = marks[at].sum(0, dtype=np.float64) / np.sqrt(len(g))
+        unknown[i] = 1 - (shared[at].sum() if i in landmark else len(at)) / len(g)
     values, vectors = np.linalg.eigh(kernel[chosen])
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     features = kernel @ root
     wanted = np.array([[1.0 if lang == x else -1.0 for x in languages] for _, lang in samples])
     solved = np.linalg.solve(features.T @ features + ridge * len(samples) * np.eye(features.shape[1]), features.T @ wanted)
-    return Model(languages, vocabulary, marks @ (root @ solved).astype(np.float32))
+    most_unknown = min(1.0, max(LEAST_UNKNOWN, 2 * float(np.quantile(unknown, 0.99))))
+    return Model(languages, vocabulary, marks @ (root @ solved).astype(np.float32), most_unknown)
 
 
 _lookup: tuple[int, np.ndarray] | None = None
 
 
-def predict(model: Model, texts: list[bytes | None], token: int = 0) -> tuple[list[str], list[float]]:
+def predict(model: Model, texts: list[bytes | None], token: int = 0) -> tuple[list[str], list[float], list[bool]]:
+    """Language and score of each text, and whether it is like the learned ones."""
     global _lookup
     if _lookup is None or _lookup[0] != token:
         places = np.full(SIZE, -1, np.int32)
         places[model.vocabulary] = np.arange(len(model.vocabulary))
         _lookup = (token, places)
     places = _lookup[1]
-    names, scores = ["und"] * len(texts), [0.0] * len(texts)
+    names, scores, claimed = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
     todo = [i for i, t in enumerate(texts) if t and LETTER.search(t.decode(errors="replace"))]
     for k in range(0, len(todo), BATCH):
         part = todo[k : k + BATCH]
@@ -90,13 +104,15 @@ def predict(model: Model, texts: list[bytes | None], token: int = 0) -> tuple[li
         for row, i in enumerate(part):
             g = grams(texts[i])
             at = places[g]
-            presence[row, at[at >= 0]] = 1 / np.sqrt(len(g))
+            at = at[at >= 0]
+            presence[row, at] = 1 / np.sqrt(len(g))
+            claimed[i] = bool(model.claims(len(at), len(g)))
         decided = presence @ model.weights
         best = decided.argmax(1)
         for row, i in enumerate(part):
             names[i] = model.languages[best[row]]
             scores[i] = float(np.clip((decided[row, best[row]] + 1) / 2, 0, 1))
-    return names, scores
+    return names, scores, claimed
 
 
 def train(docs: DataFrame, learn: Column, most: int = MOST) -> Model | None:
@@ -121,22 +137,22 @@ def train(docs: DataFrame, learn: Column, most: int = MOST) -> Model | None:
     return fit([(np.sort(np.frombuffer(bytes(r["grams"]), np.int32)), r["lang"]) for r in got])
 
 
-def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...]) -> DataFrame:
-    """The kept columns of docs with lang_pred and score."""
+def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...], claimed: bool = False) -> DataFrame:
+    """The kept columns of docs with lang_pred and score; and claimed, if asked for: whether the text is like the learned ones."""
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     if model is None:
-        return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), *[F.lit(False).alias("claimed")] * claimed)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores = predict(sent.value, b.column("vitrine_text").to_pylist(), id(sent.value))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            names, scores, like = predict(sent.value, b.column("vitrine_text").to_pylist(), id(sent.value))
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), *[pa.array(like, pa.bool_())] * claimed], names=[*keep, "lang_pred", "score", *["claimed"] * claimed])
 
-    return docs.select(*keep, F.col("text").cast("binary").alias("vitrine_text")).mapInArrow(run, f"{kept}, lang_pred string, score double")
+    return docs.select(*keep, F.col("text").cast("binary").alias("vitrine_text")).mapInArrow(run, f"{kept}, lang_pred string, score double" + ", claimed boolean" * claimed)
 
 
 def accepted(docs: DataFrame, model: Model | None, least: float = 0.25) -> DataFrame:
-    """docs without those that no language claims: `und`, or a score under `least` (a decision value under -0.5)."""
-    out = identify(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns if c != "text"}), model, tuple("text" if c == "text" else f"own_{c}" for c in docs.columns))
-    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col("text") if c == "text" else F.col(f"own_{c}").alias(c) for c in docs.columns])
+    """docs without those that no language claims: `und`, a score under `least` (a decision value under -0.5), or too many n-grams that no learned text has."""
+    out = identify(docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns if c != "text"}), model, tuple("text" if c == "text" else f"own_{c}" for c in docs.columns), claimed=True)
+    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least) & F.col("claimed")).select(*[F.col("text") if c == "text" else F.col(f"own_{c}").alias(c) for c in docs.columns])
