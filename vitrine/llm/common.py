@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -36,8 +37,8 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 
 def doc_key(doc_id: Column, text: Column) -> Column:
-    """64 bits of id and text, by which an operator finds a row again."""
-    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(0), F.coalesce(text, F.lit("")))
+    """128 bits of id and text, by which an operator finds a row again."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\0"), F.coalesce(text, F.lit("")))))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,12 +54,47 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_left: dict[str, SparkSession] = {}
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
-    """Writes df to the shared folder and reads it back: later steps survive lost executors without computing it again."""
+    """Writes df to the shared folder and reads it back: later steps survive lost executors without computing it again.
+
+    The shuffle files of the write go when it is done. The table goes with discard, or else when the driver ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/vitrine/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    _left[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out.vitrine_path = path
+    return out
+
+
+def _delete(path: str) -> None:
+    spark = _left.pop(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by materialize that no later step reads."""
+    for t in tables:
+        if getattr(t, "vitrine_path", None) in _left:
+            _delete(t.vitrine_path)
+
+
+@atexit.register
+def _discard_all() -> None:
+    for path in list(_left):
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            _delete(path)
 
 
 def drop_clashing(df: DataFrame, *names: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import materialize
+from vitrine.llm.common import discard, materialize
 
 ROUNDS = 60
 
@@ -22,6 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = materialize(small.filter("a <> b").distinct(), "edges")
         same = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         done = same(new) == same(e)
+        discard(e)
         e = new
         if done:
             break
