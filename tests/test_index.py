@@ -16,6 +16,7 @@ from vitrine.functions.url import image_filename, to_surt
 from vitrine.operators import groups
 from vitrine.operators.html_refs import page_references
 from vitrine.plans import archives, index
+from vitrine.sources import synthetic, webarchive
 from vitrine.sources.synthetic import captures, references
 
 D = "/root/testdata/sf0.001"
@@ -95,3 +96,44 @@ def test_archives_to_lines(spark, tmp_path):
     assert {x["imgWidth"] for x in lines if x["type"] == "image"} == {60}
     with pytest.raises(ValueError):
         index.index(captures(spark, D), references(spark, D), "OTHER")
+
+
+@pytest.mark.parametrize("name", ["warc_records", "arc_records", "html_image_refs", "archive_references", "archive_captures", "image_probe", "counters_extraction", "counters_merge", "matched_refs", "full_json_lines", "page_metadata_changes"])
+def test_archives_same_as_sql(spark, name):
+    test_same_as_sql(spark, name)
+
+
+def test_recaptured_pages_keep_their_own_references(spark, tmp_path):
+    page = "<html><body><img src='/{0}.png' alt='{0}'></body></html>"
+    at = [synthetic._ts(i * 1000) for i in range(3)]
+    records = [synthetic.warc_record("http://h.example/p", t, "text/html", page.format(i).encode()) for i, t in enumerate(at)]
+    records += [synthetic.warc_record(f"http://h.example/{i}.png", t, "image/png", synthetic.png(60, 70, b"%d" % i)) for i, t in enumerate(at)]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "search.html").write_bytes(b"not an archive")
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(records[0])[:-20])
+    found = webarchive.read_archives(spark, str(tmp_path))
+    assert {r.archive_name for r in found.collect()} == {"x.warc.gz", "cut.warc.gz"}
+    refs = archives.references_of(archives.pages_of(found))
+    assert sorted((r.img_alt, r.page_ts.strftime("%Y%m%d%H%M%S")) for r in refs.collect()) == [(str(i), t.strftime("%Y%m%d%H%M%S")) for i, t in enumerate(at)]
+    counted = {r.counter: r.value for r in archives.extraction_counters(found).collect()}
+    assert (counted["WARCS"], counted["WARCS_FAILED_STREAM"], counted["PAGES"]) == (2, 1, 3)
+    lines = [json.loads(r[0]) for r in archives.index_archives(spark, str(tmp_path), "FULL").collect()]
+    pictures = [x for x in lines if x["type"] == "image"]
+    assert len(pictures) == 3 and len(lines) == 6 and all(base64.b64decode(x["imgSrcBase64"]).startswith(b"\x89PNG") and x["imgMimeTypeReported"] == "image/png" for x in pictures)
+    assert all(x["imgId"] in {y["id"] for y in pictures} and x["pageHost"] == "h.example" for x in lines if x["type"] == "page")
+    with pytest.raises(Exception, match="cut|Compressed|end|EOF"):
+        webarchive.read_archives(spark, str(tmp_path), "FAILFAST").count()
+
+
+def test_listed_archives(spark, tmp_path):
+    (tmp_path / "a.arc").write_bytes(synthetic.arc_of(0, "<html></html>"))
+    (tmp_path / "list.txt").write_text(f"\n{tmp_path}/a.arc\n\nfile://{tmp_path}/none.warc.gz\n")
+    rows = webarchive.read_listed(webarchive.archive_list(spark, str(tmp_path / "list.txt"))).collect()
+    assert sorted((r.archive_name, r.record_type) for r in rows) == [("a.arc", "failed record"), ("a.arc", "response"), ("none.warc.gz", "failed download")]
+
+
+def test_charsets(spark):
+    text = "<meta charset='{}'>café"
+    cases = [text.format("x").encode(), b"\xef\xbb\xbf" + text.format("y").encode(), text.format("iso-8859-1").encode("latin-1"), "<b>café".encode("utf-16")]
+    rows = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(cases)], "i int, payload binary")
+    assert all(r.t.endswith("café") for r in rows.select(archives.page_text(F.col("payload")).alias("t")).collect())

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from vitrine.functions import ids, text, time, url
 from vitrine.operators import groups
 from vitrine.operators.asof import nearest
+from vitrine.operators.html_refs import html_references
+from vitrine.operators.image_probe import probed
+from vitrine.plans import archives as extraction
 from vitrine.plans import index
-from vitrine.sources.synthetic import SQL, captures, references
+from vitrine.sources.synthetic import PAGE, SQL, archives, captures, references
+from vitrine.sources.webarchive import read_contents
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -314,5 +318,104 @@ _add_whole("one_sided_refs", lambda spark, d: groups.one_sided(references(spark,
 _add_whole("counters_reduce", lambda spark, d: index.counters(captures(spark, d, dense=True), references(spark, d)))
 
 
+_AT = "timestamp '2024-01-01 00:00:00' + to_seconds(page_id * 61 % 2592000)"
+_TS14 = f"strftime({_AT}, '%Y%m%d%H%M%S')"
+_SITE = "'http://h' || page_id % 9 || '.example'"
+_HTML = "replace(replace('" + PAGE.replace("'", "''").replace("{{", "{").replace("}}", "}") + "', '{i}', page_id::varchar), '{k}', (page_id % 5)::varchar)"
+
+
+def _records(spark, d, kind="warc"):
+    return read_contents(archives(spark, d, kind))
+
+
+@_query(f"""with p as (select *, {_SITE} as site, {_TS14} as ts14 from pages)
+    select 'response' as record_type, site || '/raw/' || page_id as target_url, ts14, 'text/html' as mime, '200' as http_status, md5(html) as payload from p
+    union all select 'response', site || '/p/' || page_id, strftime({_AT} + to_hours(h), '%Y%m%d%H%M%S'), 'text/html', '200', md5({_HTML}) from p, (select unnest([0, 1]) as h)
+    union all select 'response', site || '/i/' || page_id || '.png', ts14, case when page_id % 4 = 0 then 'image/gif' else 'image/png' end, '200', 'image' from p
+    union all select 'resource', site || '/r/' || page_id || '.png', ts14, 'image/png', '', 'image' from p
+    union all select 'failed archive', null, null, null, '', null from p where page_id % 30 >= 20""")
+def warc_records(spark, d):
+    payload = F.when(F.col("mime").contains("image"), F.lit("image")).otherwise(F.md5("payload"))
+    return _records(spark, d).select("record_type", "target_url", "ts14", "mime", "http_status", payload.alias("payload"))
+
+
+@_query(f"""select 'response' as record_type, {_SITE} || '/raw/' || page_id as target_url, {_TS14} as ts14, 'text/html' as mime, '200' as http_status, md5(html) as payload from pages
+    union all select 'failed record', null, null, null, '', null from pages where page_id % 10 = 0""")
+def arc_records(spark, d):
+    return _records(spark, d, "arc").select("record_type", "target_url", "ts14", "mime", "http_status", F.md5("payload").alias("payload"))
+
+
+@_query(f"""with p as (select page_id as i, {_SITE} as site from pages)
+    select i, 'img' as tag, site || '/i/' || i || '.png' as img_url, 'T ' || i as img_title, 'A ' || i as img_alt, 'Before ' || i as img_caption, 1 as images_in_page, 'Title ' || i as page_title from p
+    union all select i, 'a', site || '/p/big/' || i || '.jpg', '', '', 'Link ' || i, 1, 'Title ' || i from p
+    union all select i, 'css', site || '/bg/' || i % 5 || '.gif', '', '', '', 1, 'Title ' || i from p""")
+def html_image_refs(spark, d):
+    i = F.col("page_id").cast("string")
+    html = F.replace(F.replace(F.lit(PAGE.replace("{{", "{").replace("}}", "}")), F.lit("{i}"), i), F.lit("{k}"), (F.col("page_id") % 5).cast("string"))
+    page = _pages(spark, d).select("page_id", F.concat(F.lit("http://h"), (F.col("page_id") % 9).cast("string"), F.lit(".example/p/"), i).alias("page_url"), html.alias("html"))
+    return html_references(page, ("page_id",)).select(F.col("page_id").alias("i"), "tag", "img_url", "img_title", "img_alt", "img_caption", "images_in_page", "page_title")
+
+
+@_query(f"""with p as (select page_id as i, {_SITE} as site, {_AT} as t from pages), c as (select i, site, t + to_hours(h) as t from p, (select unnest([0, 1]) as h))
+    select strftime(t, '%Y%m%d%H%M%S') as page_ts, '(example,h' || i % 9 || ',)/i/' || i || '.png' as surt, i::varchar as img_filename, 'h' || i % 9 || '.example' as page_host, 'http' as page_protocol, 'a' || i || '.warc.gz' as warc from c
+    union all select strftime(t, '%Y%m%d%H%M%S'), '(example,h' || i % 9 || ',)/p/big/' || i || '.jpg', i::varchar, 'h' || i % 9 || '.example', 'http', 'a' || i || '.warc.gz' from c
+    union all select strftime(t, '%Y%m%d%H%M%S'), '(example,h' || i % 9 || ',)/bg/' || i % 5 || '.gif', (i % 5)::varchar, 'h' || i % 9 || '.example', 'http', 'a' || i || '.warc.gz' from c""")
+def archive_references(spark, d):
+    refs = extraction.references_of(extraction.pages_of(_records(spark, d).filter("not target_url like '%/raw/%'")))
+    return refs.select(time.format_ts14(F.col("page_ts")).alias("page_ts"), "surt", "img_filename", "page_host", "page_protocol", "warc")
+
+
+@_query(f"""with p as (select page_id as i, {_SITE} as site, {_TS14} as ts14 from pages)
+    select site || '/i/' || i || '.png' as url, md5(site || '/i/' || i || '.png') as image_url_hash, ts14, 51 + i % 40 as width, 51 + i % 7 as height, case when i % 4 = 0 then 'image/gif' else 'image/png' end as mime_reported, 'image/png' as mime, 29 + length((i % 50)::varchar) as size from p
+    union all select site || '/r/' || i || '.png', md5(site || '/r/' || i || '.png'), ts14, 40 + i % 30, 60, 'image/png', 'image/png', 30 + length(i::varchar) from p""")
+def archive_captures(spark, d):
+    images, _ = extraction.extract(_records(spark, d))
+    return images.select("url", "image_url_hash", time.format_ts14(F.col("ts")).alias("ts14"), "width", "height", "mime_reported", "mime", "size")
+
+
+@_query("""with p as (select page_id as i from pages)
+    select i, 'image/png' as mime_detected, (1 + i % 300)::int as width, (7 + i % 200)::int as height from p union all select i, 'image/gif', 1 + i % 300, 7 + i % 200 from p union all select i, 'image/bmp', 1 + i % 300, 7 + i % 200 from p
+    union all select i, 'image/jpeg', 1 + i % 300, 7 + i % 200 from p union all select i, 'image/svg+xml', 1 + i % 300, 7 + i % 200 from p union all select i, 'text/html', null, null from p""")
+def image_probe(spark, d):
+    sides = lambda w, size: F.lpad(F.hex(w), size, "0")
+    little = lambda w: F.concat(F.substring(sides(w, 4), 3, 2), F.substring(sides(w, 4), 1, 2))
+    w, h = 1 + F.col("page_id") % 300, 7 + F.col("page_id") % 200
+    hexed = [
+        F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), sides(w, 8), sides(h, 8)), F.concat(F.lit("474946383961"), little(w), little(h)), F.concat(F.lit("424D"), F.lit("00" * 16), little(w), F.lit("0000"), little(h), F.lit("0000")),
+        F.concat(F.lit("FFD8FFE0000400" + "00" + "FFC0000B08"), sides(h, 4), sides(w, 4), F.lit("00")), F.hex(F.concat(F.lit("<svg xmlns='x' width='"), w.cast("string"), F.lit("' height='"), h.cast("string"), F.lit("'></svg>"))), F.hex(F.lit("<html></html>")),
+    ]
+    each = _pages(spark, d).select(F.col("page_id").alias("i"), F.explode(F.array(*[F.unhex(x) for x in hexed])).alias("payload")).withColumn("mime", F.lit("text/html"))
+    return probed(each).select("i", "mime_detected", "width", "height")
+
+
+@_query("""with p as (select page_id as i from pages), n as (select count(*) as n, count(*) filter (i % 30 >= 20) as cut, count(*) filter (i % 30 < 11) as small, count(*) filter (i % 4 = 0) as wrong from p)
+    select unnest(['WARCS', 'WARCS_DOWNLOAD_ERROR', 'WARCS_FAILED_STREAM', 'RECORDS_READ', 'RECORDS_FAILED', 'IMAGES_IN_WARC_TOTAL', 'IMAGES_IN_WARC_FAILED', 'IMAGES_IN_WARC_TOO_SMALL_BASE64', 'IMAGES_IN_WARC_TOO_SMALL', 'IMAGES_IN_WARC_TOO_LARGE', 'IMAGES_IN_WARC_MIME_INVALID', 'IMAGES_IN_WARC_MIME_WRONG', 'IMAGES_IN_WARC_PARSED_DUP', 'IMAGES_IN_WARC_PARSED',
+        'IMAGES_IN_HTML_MATCHING', 'IMAGES_IN_HTML_MATCHING_LINK', 'IMAGES_IN_HTML_MATCHING_CSS', 'IMAGES_IN_HTML_BASE64', 'IMAGES_IN_HTML_SENT_DUP', 'IMAGES_IN_HTML_SENT', 'PAGES_WITH_IMAGES', 'IMAGES_IN_HTML_TOTAL', 'IMAGES_IN_HTML_EXCEDED', 'IMAGES_IN_HTML_NOT_PARSED', 'PAGES', 'PAGE_UTF8_MISMATCH_DOUBLE']) as counter,
+        unnest([n, 0, cut, 5 * n, 0, 2 * n, 0, 0, small, 0, 0, wrong, 2 * n - small, 2 * n - small, 6 * n, 2 * n, 2 * n, 0, 6 * n, 3 * n, 2 * n, 2 * n, 0, 0, 3 * n, 0]::bigint[]) as value from n""")
+def counters_extraction(spark, d):
+    return extraction.extraction_counters(_records(spark, d))
+
+
+@_query(f"""{_FLOW}, n as (select count(*) as n from di), r as (select count(*) as refs, count(distinct digest) as with_refs from dp), s as (select count(*) as states from (select distinct surt, digest from ii) where surt in (select surt from st))
+    select unnest(['RECORDS_MAP_IN', 'RECORDS_IN', 'RECORDS_OUT', 'RECORDS_WITH_METADATA', 'RECORDS_WITHOUT_METADATA', 'URL_IMAGES_PAGESALL', 'URL_IMAGESALL_PAGES', 'URL_IMAGES_PAGES']) as counter, unnest([states, states, n, with_refs, n - with_refs, refs, n, n]::bigint[]) as value from n, r, s""")
+def counters_merge(spark, d):
+    return index.merge_counters(_index(spark, d))
+
+
+@_query(f"""{_FLOW}, im as (select digest, min(ts) as first_ts, date_diff('second', min(ts), max(ts)) as timespan, arg_min(url, {_MD5}) as url, arg_min(width, {_MD5}) as width, arg_min(warc, {_MD5}) as warc from ii where surt in (select surt from st) group by 1)
+    select digest, m, page_url, im.timespan, im.width, strftime(im.first_ts, '%Y%m%d%H%M%S') || '/' || md5(im.url) as image_id, im.warc as image_warc, matching_images, matching_pages, ds.oldest_surt, u.unique_digests
+    from dp join im using (digest) join ds using (digest) join (select surt, count(distinct digest) as unique_digests from ii group by 1) u on u.surt = ds.oldest_surt""")
+def matched_refs(spark, d):
+    return index.matched_references(_index(spark, d)).select("digest", "m", "page_url", "timespan", "width", "image_id", "image_warc", "matching_images", "matching_pages", "oldest_surt", "unique_digests")
+
+
+@_query(f"""{_FLOW}, im as (select digest, min(ts) as first_ts, date_diff('second', min(ts), max(ts)) as timespan, arg_min(url, {_MD5}) as url, arg_min(width, {_MD5}) as width from ii where surt in (select surt from st) group by 1)
+    select digest, 'image' as type, strftime(first_ts, '%Y%m%d%H%M%S') || '/' || md5(url) as id, url, timespan::varchar as timespan, width::varchar as width from im
+    union all select digest, 'page', strftime(im.first_ts, '%Y%m%d%H%M%S') || '/' || md5(im.url), page_url, timespan::varchar, width::varchar from dp join im using (digest)""")
+def full_json_lines(spark, d):
+    get = lambda *keys: F.coalesce(*[F.get_json_object("value", f"$.{k}") for k in keys])
+    return index.full_json(_index(spark, d)).select("digest", get("type").alias("type"), get("imgId", "id").alias("id"), get("pageURL", "imgSrc").alias("url"), get("imgTimespan").alias("timespan"), get("imgWidth").alias("width"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.compact(_index(spark, sf_dir))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from urllib.parse import urljoin, urlsplit
 
 from pyspark.sql import Column
@@ -85,7 +84,3 @@ def resolve(base: str, relative: str) -> str:
         return out if urlsplit(out).scheme in ("http", "https", "ftp", "file", "jar") else ""
     except ValueError:
         return ""
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

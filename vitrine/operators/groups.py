@@ -13,7 +13,10 @@ from vitrine.functions.text import image_metadata
 from vitrine.functions.time import span_seconds
 from vitrine.functions.url import decoded_url_tokens
 
-IMAGE_CAP, STATE_CAP, LEAST_SIDE, MOST_AREA = 500, 10_000, 51, 15_000 * 15_000
+IMAGE_CAP, LEAST_SIDE, MOST_AREA = 500, 51, 15_000 * 15_000
+#: Columns that travel with an image or a reference if they are there.
+IMAGE_EXTRAS = ("surt", "mime_reported", "image_url_hash", "collection", "bytes")
+REF_EXTRAS = ("img_filename", "img_url", "img_url_tokens", "is_inline", "page_title", "page_host", "page_protocol", "collection", "warc", "warc_offset")
 
 
 def size_window(images: DataFrame) -> DataFrame:
@@ -36,7 +39,7 @@ def page_order() -> Column:
 
 def distinct_images(images: DataFrame, key: str = "surt") -> DataFrame:
     """One row per key and digest: the canonical capture (earliest, shorter URL, smaller md5), all capture times, count."""
-    picked = F.struct("url", "ts", "mime", "width", "height", "size", "warc", "warc_offset")
+    picked = F.struct("url", "ts", "mime", "width", "height", "size", "warc", "warc_offset", *[c for c in IMAGE_EXTRAS if c in images.columns and c != key])
     got = images.groupBy(key, "digest").agg(F.min_by(picked, capture_order()).alias("c"), F.array_sort(F.collect_set("ts")).alias("timestamps"), F.count(F.lit(1)).alias("captures"))
     out = got.select(key, "digest", "c.*", "timestamps", "captures").withColumnRenamed("ts", "first_ts")
     return out.withColumn("last_ts", F.element_at("timestamps", -1)).withColumn("timespan", span_seconds(F.col("first_ts"), F.col("last_ts")))
@@ -44,16 +47,22 @@ def distinct_images(images: DataFrame, key: str = "surt") -> DataFrame:
 
 def distinct_references(refs: DataFrame, key: str = "surt") -> DataFrame:
     """One row per key and metadata: the canonical page (earliest, shorter URL), newest time, count."""
-    picked = F.struct("page_url", "page_ts", "images_in_page", "tokens")
+    picked = F.struct("page_url", "page_ts", "images_in_page", "tokens", *[c for c in REF_EXTRAS if c in refs.columns])
     got = refs.groupBy(key, "m").agg(F.min_by(picked, page_order()).alias("p"), F.min_by(F.struct("img_title", "img_alt", "img_caption"), page_order()).alias("i"), F.max("page_ts").alias("newest_ts"), F.count(F.lit(1)).alias("references"))
     return got.select(key, "m", "p.*", "i.*", "newest_ts", "references").withColumn("page_timespan", span_seconds(F.col("page_ts"), F.col("newest_ts")))
 
 
 def page_metadata_changes(refs: DataFrame, key: str = "surt") -> DataFrame:
-    """1 and the references whose page tokens differ from the ones held, those of the canonical page."""
-    order = Window.partitionBy(key, "m").orderBy("page_ts", F.length("page_url"), "page_url")
-    held = refs.withColumn("held", F.first("tokens").over(order))
-    return held.groupBy(key).agg((F.lit(1) + F.count_if(F.col("tokens") != F.col("held"))).alias("page_metadata_changes"))
+    """1 and the references whose page tokens differ from the ones held, those of the canonical page; counted by tokens, without sorting references."""
+    by_tokens = refs.groupBy(key, "m", "tokens").agg(F.count(F.lit(1)).alias("n"), F.count("tokens").alias("k"), F.min(page_order()).alias("first"))
+    each = by_tokens.groupBy(key, "m").agg(F.sum("k").alias("k"), F.min_by(F.struct("tokens", "k"), "first").alias("held"))
+    return each.groupBy(key).agg((F.lit(1) + F.sum(F.when(F.col("held.tokens").isNull(), 0).otherwise(F.col("k") - F.col("held.k")))).alias("page_metadata_changes"))
+
+
+def has_metadata(refs: DataFrame, key: str) -> DataFrame:
+    """Whether any reference of the key has metadata of the image or of the page."""
+    text = (F.coalesce("m", F.lit("")) != "") | (F.coalesce("tokens", F.lit("")) != "")
+    return refs.groupBy(key).agg(F.bool_or(text).alias("has_metadata"))
 
 
 def oldest_surt(rows: DataFrame, by: str) -> DataFrame:

@@ -155,18 +155,27 @@ def page_references(html: str, page_url: str) -> list[tuple]:
             seen.add(a.attrs["href"])
             add(target, "", "", a.text()[:MOST_CHARS], "a")
     for source in CSS_URL.findall(html):
-        if source not in seen and links_to_image(source):
+        if source in seen:
+            continue
+        if source.startswith("data:image"):  # kept as a reference without a key: no capture is made of it
+            rows.append((page_url, title, len(images), "", "", "", "", "css", False, None))
+        elif links_to_image(source):
             add(resolve(page_url, source), "", "", "", "css")
     return rows
 
 
-def html_references(pages: DataFrame) -> DataFrame:
-    """page_url and html of pages -> one row per image reference."""
+def html_references(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_url and html of pages -> one row per image reference, with the kept columns of its page."""
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema) if keep else ""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for pdf in parts:
-            rows = [r for u, h in zip(pdf["page_url"], pdf["html"]) if isinstance(u, str) and isinstance(h, str) for r in page_references(h, u)]
-            yield pd.DataFrame(rows, columns=names)
-
-    return pages.select("page_url", "html").mapInPandas(run, SCHEMA)
+            found = [page_references(h, u) if isinstance(u, str) and isinstance(h, str) else [] for u, h in zip(pdf["page_url"], pdf["html"])]
+            out = pd.DataFrame([r for rows in found for r in rows], columns=names)
+            of = [i for i, rows in enumerate(found) for _ in rows]
+            for c in keep:
+                out[c] = pdf[c].iloc[of].to_numpy()
+            yield out
+
+    return pages.select("page_url", "html", *keep).mapInPandas(run, SCHEMA + (f", {kept}" if kept else ""))

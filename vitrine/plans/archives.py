@@ -3,34 +3,116 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import fix_mojibake
 from vitrine.functions.time import parse_ts14
-from vitrine.functions.url import to_surt
-from vitrine.operators.html_refs import html_references
+from vitrine.functions.url import host, image_filename, protocol, to_surt, too_long, url_tokens, with_scheme
+from vitrine.operators.groups import LEAST_SIDE, MOST_AREA
+from vitrine.operators.html_refs import MOST_IMAGES, html_references
 from vitrine.operators.image_probe import inline_bytes, probed
 from vitrine.plans.index import index
-from vitrine.sources.webarchive import html_records, image_records, read_archives
+from vitrine.sources.webarchive import FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD, archive_list, html_records, image_records, read_archives, read_listed
 
 
-def extract(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Captures and references, with the columns that the index takes."""
-    pages = html_records(records).withColumn("html", fix_mojibake(F.coalesce(F.try_validate_utf8(F.col("payload").cast("string")), F.decode("payload", "ISO-8859-1"))))
-    pages = pages.withColumn("page_ts", parse_ts14(F.col("ts14"))).filter("page_ts is not null").withColumn("page_url", F.when(F.col("target_url").startswith("http"), F.col("target_url")).otherwise(F.concat(F.lit("http://"), "target_url")))
-    found = html_references(pages).join(pages.select("page_url", "page_ts", F.col("archive_name").alias("warc"), F.col("offset").alias("warc_offset")), "page_url")
-    refs = found.withColumn("surt", to_surt(F.col("img_url"))).withColumn("event_id", F.xxhash64("page_url", "img_url", "page_ts"))
+def page_text(payload: Column) -> Column:
+    """Text of a page: by its byte order mark, as UTF-8 if it is valid, by the charset that its head names, else Latin-1."""
+    raw = F.decode(payload, "ISO-8859-1")
+    named = F.upper(F.regexp_extract(F.substring(raw, 1, 4096), r"(?i)<meta[^>]*charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", 1))
+    other = F.when(named.isin("ISO-8859-15", "WINDOWS-1252", "CP1252", "LATIN-1", "ISO-8859-1"), raw).when(named == "UTF-16", F.decode(payload, "UTF-16"))
+    start = F.hex(F.substring(payload, 1, 3))
+    text = F.when(start == "EFBBBF", F.try_validate_utf8(F.expr("substring(payload, 4)").cast("string"))).when(start.startswith("FFFE") | start.startswith("FEFF"), F.decode(payload, "UTF-16"))
+    return F.coalesce(text, F.try_validate_utf8(payload.cast("string")), other, raw)
+
+
+def pages_of(records: DataFrame) -> DataFrame:
+    """HTML records with page_url, page_ts, html and where they are from; repaired tells that doubly encoded text was mended."""
+    text = html_records(records).withColumn("raw_html", page_text(F.col("payload")))
+    out = text.withColumn("html", fix_mojibake(F.col("raw_html"))).withColumn("page_ts", parse_ts14(F.col("ts14"))).filter("page_ts is not null")
+    return out.select(with_scheme(F.col("target_url")).alias("page_url"), "page_ts", "html", F.col("archive_name").alias("warc"), F.col("offset").alias("warc_offset"), (F.col("html") != F.col("raw_html")).alias("repaired"))
+
+
+def references_of(pages: DataFrame) -> DataFrame:
+    """References of pages, each with the capture of the page that it was found in."""
+    found = html_references(pages, ("page_ts", "warc", "warc_offset")).filter(~too_long(F.col("page_url")))
+    named = {"surt": to_surt(F.col("img_url")), "event_id": F.xxhash64("page_url", "img_url", "page_ts", "warc", "warc_offset"), "img_filename": image_filename(F.col("img_url")), "img_url_tokens": url_tokens(F.col("img_url")), "page_host": host(F.col("page_url")), "page_protocol": protocol(F.col("page_url"))}
+    return found.withColumns(named)
+
+
+def captures_of(records: DataFrame, refs: DataFrame) -> DataFrame:
+    """Stored and inline images with type, sides (null if they can't be read), digest and bytes."""
 
     @F.pandas_udf("mime string, payload binary")
     def opened(data: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([inline_bytes(d) for d in data], columns=["mime", "payload"])
 
-    inline = found.filter("is_inline").withColumn("o", opened("inline_data")).select(F.col("img_url").alias("url"), F.col("page_ts").alias("ts"), F.col("o.mime").alias("mime"), F.col("o.payload").alias("payload"), "warc", "warc_offset")
+    where = ("warc", "warc_offset")
+    inline = refs.filter("is_inline").withColumn("o", opened("inline_data")).select(F.col("img_url").alias("url"), F.col("page_ts").alias("ts"), F.col("o.mime").alias("mime"), F.col("o.payload").alias("payload"), *where)
     stored = image_records(records).select(F.col("target_url").alias("url"), parse_ts14(F.col("ts14")).alias("ts"), "mime", "payload", F.col("archive_name").alias("warc"), F.col("offset").alias("warc_offset"))
-    images = probed(stored.unionByName(inline).filter("ts is not null")).filter("width is not null").withColumn("surt", to_surt(F.col("url"))).drop("payload")
-    return images, refs.drop("inline_data")
+    images = probed(stored.unionByName(inline).filter("ts is not null"))
+    return images.withColumns({"surt": to_surt(F.col("url")), "image_url_hash": F.md5("url"), "mime_reported": F.col("mime"), "mime": F.coalesce(F.nullif("mime_detected", F.lit("")), "mime")}).withColumnRenamed("payload", "bytes")
+
+
+def extract(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures and references, with the columns that the index takes."""
+    refs = references_of(pages_of(records))
+    return captures_of(records, refs).filter("width is not null"), refs.drop("inline_data")
+
+
+def extraction_counters(records: DataFrame) -> DataFrame:
+    """The counters of the extraction (counter, value): what was read, found, kept, and lost on the way."""
+    pages = pages_of(records)
+    refs = references_of(pages)
+    images = captures_of(records, refs)
+    one = F.lit(1)
+    kind = F.col("record_type")
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
+    read = {
+        "WARCS": F.count_distinct("archive_name"), "WARCS_DOWNLOAD_ERROR": count(kind == FAILED_DOWNLOAD), "WARCS_FAILED_STREAM": count(kind == FAILED_ARCHIVE),
+        "RECORDS_READ": count(~kind.isin(FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD)), "RECORDS_FAILED": count(kind == FAILED), "IMAGES_IN_WARC_TOTAL": count(F.col("mime").contains("image") & F.col("payload").isNotNull()),
+    }
+    w, h = F.col("width").cast("long"), F.col("height").cast("long")
+    small, inline = (w < LEAST_SIDE) | (h < LEAST_SIDE), F.col("url").startswith("hash:")
+    good = w.isNotNull() & ~small & (w * h <= MOST_AREA)
+    held = {
+        "IMAGES_IN_WARC_FAILED": count(w.isNull()), "IMAGES_IN_WARC_TOO_SMALL_BASE64": count(small & inline), "IMAGES_IN_WARC_TOO_SMALL": count(small & ~inline), "IMAGES_IN_WARC_TOO_LARGE": count(~small & (w * h > MOST_AREA)),
+        "IMAGES_IN_WARC_MIME_INVALID": count(F.col("mime_detected") == ""), "IMAGES_IN_WARC_MIME_WRONG": count((F.col("mime_detected") != "") & (F.col("mime_detected") != F.coalesce("mime_reported", F.lit("")))),
+        "IMAGES_IN_WARC_PARSED_DUP": count(good), "IMAGES_IN_WARC_PARSED": F.count_distinct(F.when(good, F.struct("warc", "surt", "digest"))),
+    }
+    tag = F.col("tag")
+    per_page = refs.groupBy("page_url", "page_ts", "warc", "warc_offset").agg(F.first("images_in_page").alias("n"), F.count(one).alias("found"))
+    found = {
+        "IMAGES_IN_HTML_MATCHING": count(one == 1), "IMAGES_IN_HTML_MATCHING_LINK": count(tag == "a"), "IMAGES_IN_HTML_MATCHING_CSS": count(tag == "css"), "IMAGES_IN_HTML_BASE64": count(F.col("is_inline")),
+        "IMAGES_IN_HTML_SENT_DUP": count(one == 1), "IMAGES_IN_HTML_SENT": F.count_distinct(F.struct("warc", "surt", "img_title", "img_alt", "img_caption")),
+    }
+    with_images = {"PAGES_WITH_IMAGES": count(F.col("found") > 0), "IMAGES_IN_HTML_TOTAL": F.coalesce(F.sum("n"), F.lit(0)), "IMAGES_IN_HTML_EXCEDED": count(F.col("n") > MOST_IMAGES), "IMAGES_IN_HTML_NOT_PARSED": F.coalesce(F.sum(F.greatest(F.col("n") - MOST_IMAGES, F.lit(0))), F.lit(0))}
+    whole = {"PAGES": count(one == 1), "PAGE_UTF8_MISMATCH_DOUBLE": count(F.col("repaired"))}
+    out = None
+    for df, names in ((records, read), (images, held), (refs, found), (per_page, with_images), (pages, whole)):
+        part = df.agg(*[c.cast("long").alias(k) for k, c in names.items()]).unpivot([], list(names), "counter", "value")
+        out = part if out is None else out.union(part)
+    return out
 
 
 def index_archives(spark: SparkSession, path: str, mode: str = "COMPACT") -> DataFrame:
+    """Lines of the index over the archives under a folder."""
     return index(*extract(read_archives(spark, path)), mode)
+
+
+def index_listed(spark: SparkSession, path: str, mode: str = "COMPACT", per_task: int = 1) -> DataFrame:
+    """Lines of the index over the archives that a text file names, by path or URL."""
+    return index(*extract(read_listed(archive_list(spark, path, per_task))), mode)
+
+
+def main(argv: list[str]) -> None:
+    """LIST_OR_FOLDER OUTPUT [MODE]: writes the lines as text, in place of what OUTPUT held."""
+    spark = SparkSession.builder.appName("vitrine").getOrCreate()
+    lines = index_listed if argv[0].endswith(".txt") else index_archives
+    lines(spark, argv[0], *argv[2:3]).write.mode("overwrite").text(argv[1])
+
+
+if __name__ == "__main__":
+    import sys
+
+    main(sys.argv[1:])

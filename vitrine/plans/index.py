@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.ids import image_id, reference_id
-from vitrine.functions.time import format_ts14, iso_text
+from vitrine.functions.time import iso_text
 from vitrine.operators import groups
 from vitrine.operators.asof import nearest
 
@@ -42,7 +42,7 @@ def build(images: DataFrame, refs: DataFrame, nearest_by_duration: bool = False)
     both = images.join(stats.select("surt"), "surt", "left_semi")
     digest_images = groups.distinct_images(both, "digest")
     parts = split.drop("matched")
-    canonical = F.struct("page_url", "page_ts", "images_in_page", "tokens")
+    canonical = F.struct("page_url", "page_ts", "images_in_page", "tokens", *[c for c in groups.REF_EXTRAS if c in refs.columns])
     order = F.struct("page_ts", F.length("page_url"), F.col("page_url"))
     merged = parts.groupBy("digest", "m").agg(F.min_by(canonical, order).alias("p"), F.min_by(F.struct("img_title", "img_alt", "img_caption"), order).alias("i"), F.max("newest_ts").alias("newest_ts"), F.sum("references").alias("references"))
     merged = merged.select("digest", "m", "p.*", "i.*", "newest_ts", "references")
@@ -93,6 +93,49 @@ def full_lines(ix: Index) -> DataFrame:
     return images.unionByName(pages)
 
 
+def matched_references(ix: Index) -> DataFrame:
+    """References of digests with the image they match: its time, span, sides, type, id and place, and what is known of its group."""
+    i = ix.digest_images
+    image = i.select("digest", "timespan", "width", "height", "mime", image_id(F.col("first_ts"), F.col("url")).alias("image_id"), F.col("url").alias("image_url"), F.col("warc").alias("image_warc"), F.col("warc_offset").alias("image_warc_offset"))
+    unique = ix.surt_stats.select(F.col("surt").alias("oldest_surt"), "unique_digests")
+    return ix.digest_refs.join(image, "digest").join(ix.digest_stats, "digest").join(unique, "oldest_surt", "left")
+
+
+def _or_null(df: DataFrame, name: str, kind: str = "string"):
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+
+def full_json(ix: Index) -> DataFrame:
+    """JSON lines (digest, value) with all fields of images and of references; fields without a value are left out."""
+    i = ix.digest_images.join(ix.digest_stats.select("digest", "oldest_surt"), "digest", "left")
+    zero = [F.lit(0).alias(c) for c in ("safe", "spam", "blocked")]
+    picture = _or_null(i, "bytes", "binary")
+    image = F.to_json(F.struct(
+        F.col("digest").alias("imgDigest"), F.lit("image").alias("type"), image_id(F.col("first_ts"), F.col("url")).alias("id"), F.col("oldest_surt").alias("oldestSurt"), F.md5("url").alias("imgSrcURLDigest"), F.transform("timestamps", iso_text).alias("imgTstamps"),
+        F.col("timespan").alias("imgTimespan"), F.col("url").alias("imgSrc"), _or_null(i, "surt").alias("imgSurt"), _or_null(i, "mime_reported").alias("imgMimeTypeReported"), F.col("mime").alias("imgMimeType"), F.base64(picture).alias("imgSrcBase64"),
+        _or_null(i, "collection").alias("collection"), F.col("width").alias("imgWidth"), F.col("height").alias("imgHeight"), "size", *zero, F.col("warc").alias("warcName"), F.col("warc_offset").alias("warcOffset"),
+    ))
+    r = matched_references(ix)
+    page = F.to_json(F.struct(
+        F.lit("page").alias("type"), _or_null(r, "collection").alias("collection"), _or_null(r, "warc").alias("warc"), _or_null(r, "warc_offset", "long").alias("warcOffset"), F.col("img_title").alias("imgTitle"), F.col("img_alt").alias("imgAlt"), _or_null(r, "img_filename").alias("imgFilename"),
+        F.col("img_caption").alias("imgCaption"), iso_text(F.col("matched")).alias("imgTimestamp"), F.col("timespan").alias("imgTimespan"), _or_null(r, "page_title").alias("pageTitle"), F.col("tokens").alias("pageURLTokens"), F.col("image_id").alias("imgId"), _or_null(r, "img_url").alias("imgURL"), _or_null(r, "img_url_tokens").alias("imgURLTokens"),
+        F.col("height").alias("imgHeight"), F.col("width").alias("imgWidth"), F.col("mime").alias("imgMimeType"), F.col("image_warc").alias("imgWarc"), F.col("image_warc_offset").alias("imgWarcOffset"), iso_text(F.col("page_ts")).alias("pageTimestamp"), iso_text(F.col("newest_ts")).alias("pageTimestampNewest"),
+        F.col("page_url").alias("pageURL"), _or_null(r, "page_host").alias("pageHost"), _or_null(r, "page_protocol").alias("pageProtocol"), F.col("matching_images").alias("matchingImages"), F.col("matching_pages").alias("matchingPages"), F.col("image_metadata_changes").alias("imageMetadataChanges"), F.col("page_metadata_changes").alias("pageMetadataChanges"),
+        F.col("images_in_page").alias("imagesInPage"), F.col("unique_digests").alias("uniqueDigestsOnURL"), _or_null(r, "is_inline", "boolean").alias("inline"), F.col("digest").alias("imageDigest"), F.col("oldest_surt").alias("oldestSurt"), iso_text(F.col("oldest_surt_date")).alias("oldestSurtDate"),
+    ))
+    return i.select("digest", image.alias("value")).unionByName(r.select("digest", page.alias("value")))
+
+
+def merge_counters(ix: Index) -> DataFrame:
+    """The counters of the merge by digest (counter, value): states in, digests out, with and without metadata, and what they hold."""
+    states = ix.surt_images.join(ix.surt_stats.select("surt"), "surt", "left_semi").select("surt", "digest").agg(F.count(F.lit(1)).cast("long").alias("RECORDS_IN"))
+    held = ix.digest_images.select("digest", F.lit(1).alias("one")).join(ix.digest_refs.groupBy("digest").agg(F.count(F.lit(1)).alias("refs")), "digest", "left").join(groups.has_metadata(ix.digest_refs, "digest"), "digest", "left")
+    some = F.coalesce("has_metadata", F.lit(False))
+    names = {"RECORDS_OUT": F.count(F.lit(1)), "RECORDS_WITH_METADATA": F.count_if(some), "RECORDS_WITHOUT_METADATA": F.count_if(~some), "URL_IMAGES_PAGESALL": F.coalesce(F.sum("refs"), F.lit(0)), "URL_IMAGESALL_PAGES": F.count(F.lit(1)), "URL_IMAGES_PAGES": F.count(F.lit(1))}
+    out = held.agg(*[c.cast("long").alias(k) for k, c in names.items()]).unpivot([], list(names), "counter", "value")
+    return states.withColumn("RECORDS_MAP_IN", F.col("RECORDS_IN")).unpivot([], ["RECORDS_MAP_IN", "RECORDS_IN"], "counter", "value").union(out)
+
+
 def index(images: DataFrame, refs: DataFrame, mode: str = "COMPACT") -> DataFrame:
     """JSON lines of the index in either mode."""
     if mode not in MODES:
@@ -100,7 +143,7 @@ def index(images: DataFrame, refs: DataFrame, mode: str = "COMPACT") -> DataFram
     ix = build(images, refs)
     if mode == "COMPACT":
         return compact_json(compact(ix)).select("value")
-    return full_lines(ix).select(F.to_json(F.struct("*")).alias("value"))
+    return full_json(ix).select("value")
 
 
 def counters(images: DataFrame, refs: DataFrame) -> DataFrame:
@@ -117,7 +160,3 @@ def counters(images: DataFrame, refs: DataFrame) -> DataFrame:
     }
     one = g.agg(*[v.cast("long").alias(k) for k, v in names.items()])
     return one.unpivot([], list(names), "counter", "value")
-
-
-def timestamps14(images: DataFrame) -> DataFrame:
-    return images.select("surt", "url", format_ts14(F.col("ts")).alias("ts14"))

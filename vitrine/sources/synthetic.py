@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import gzip
+import struct
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +47,55 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_trunc("second", "ts").cast("timestamp_ntz").alias("page_ts"), F.col("event_type").alias("img_title"), F.when(F.col("event_id") % 3 == 0, "").otherwise(F.concat(F.lit("alt "), text("event_id", 4))).alias("img_alt"),
         F.concat(F.lit("cap "), text("event_id", 6)).alias("img_caption"), (1 + F.col("event_id") % 30).alias("images_in_page"), "event_id",
     )
+
+PAGE = "<html><head><title>Title {i}</title></head><body><div><p>Before {i}</p><img src='/i/{i}.png' alt='A {i}' title='T {i}'></div>\n<p>Far</p>\n<p>Away</p>\n<a href='big/{i}.jpg'>Link {i}</a><a href='next.html'>next</a>\n<style>p {{ background: url('/bg/{k}.gif') }}</style></body></html>"
+STARTED = 1704067200  # 2024-01-01
+
+
+def png(width: int, height: int, tail: bytes = b"") -> bytes:
+    return b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", width, height) + b"\x08\x02\0\0\0" + tail
+
+
+def _ts(i: int) -> datetime.datetime:
+    return datetime.datetime.fromtimestamp(STARTED + i * 61 % 2592000, datetime.UTC)
+
+
+def warc_record(url: str, at: datetime.datetime, mime: str, body: bytes) -> bytes:
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: {mime}\r\n\r\n".encode() + body
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {url}\r\nWARC-Date: {at:%Y-%m-%dT%H:%M:%SZ}\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(http)}\r\n\r\n"
+    return head.encode() + http + b"\r\n\r\n"
+
+
+def arc_record(url: str, at: datetime.datetime, mime: str, body: bytes) -> bytes:
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: {mime}\r\n\r\n".encode() + body
+    return f"{url} 127.0.0.1 {at:%Y%m%d%H%M%S} {mime} {len(http)}\n".encode() + http + b"\n"
+
+
+def warc_of(i: int, html: str) -> bytes:
+    """A page as it is, a page with images (captured twice), its image, and an image as a resource; every member is compressed by itself."""
+    site, at = f"http://h{i % 9}.example", _ts(i)
+    resource = png(40 + i % 30, 60, b"r%d" % i)
+    parts = [warc_record(f"{site}/raw/{i}", at, "text/html", html.encode())]
+    parts += [warc_record(f"{site}/p/{i}", t, "text/html", PAGE.format(i=i, k=i % 5).encode()) for t in (at, at + datetime.timedelta(hours=1))]
+    parts.append(warc_record(f"{site}/i/{i}.png", at, "image/png" if i % 4 else "image/gif", png(51 + i % 40, 51 + i % 7, b"%d" % (i % 50))))
+    parts.append(f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: {site}/r/{i}.png\r\nWARC-Date: {at:%Y-%m-%dT%H:%M:%SZ}\r\nContent-Type: image/png\r\nContent-Length: {len(resource)}\r\n\r\n".encode() + resource + b"\r\n\r\n")
+    return b"".join(gzip.compress(p, 1) for p in parts)
+
+
+def arc_of(i: int, html: str) -> bytes:
+    """A page, and for every tenth one a record whose line lacks a field before it."""
+    site, at = f"http://h{i % 9}.example", _ts(i)
+    broken = b"x y 3\nabc\n" if i % 10 == 0 else b""
+    return broken + arc_record(f"{site}/raw/{i}", at, "text/html", html.encode())
+
+
+def archives(spark: SparkSession, sf_dir: str, kind: str = "warc") -> DataFrame:
+    """(name, content): an archive for each page; WARC archives of the last third of every 30 pages have junk at their end."""
+    made = warc_of if kind == "warc" else arc_of
+
+    def run(parts):
+        for pdf in parts:
+            rows = [(f"a{i}.{kind}.gz" if kind == "warc" else f"a{i}.arc", made(int(i), h) + (b"junk" if kind == "warc" and i % 30 >= 20 else b"")) for i, h in zip(pdf["page_id"], pdf["html"])]
+            yield pd.DataFrame(rows, columns=["name", "content"])
+
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").mapInPandas(run, "name string, content binary")
