@@ -2,18 +2,22 @@
 
 The distinct word shingles of a whole text fall into BANDS * ROWS buckets; of each bucket's smallest hash the number of
 leading zeros and MANTISSA bits are kept, 2 bytes a register. Bands of ROWS registers are the candidates' keys: at a
-Jaccard similarity of 0.8 a large pair misses all bands with a probability of 1e-5 to 1e-7; sets under SMALL shingles
-have, by size class, more bands than they can differ in, so none is missed. Before a pair is confirmed on the full sets, the registers' estimate, corrected for chance collisions, must be within six standard deviations.
-
-Equal sets are one node from the start, however many documents hold them. In a band's bucket all nodes are compared
-with the first one, confirmed links are joined into components, and then only pairs of the bucket that are still in
-different components are compared. So a group of thousands of near copies costs a comparison each, and no link that
-would join two components is left out. Components are found with distributed edges; every step's result is written to
-the shared folder.
+Jaccard similarity of 0.8 a large pair misses all bands with a probability of 1e-5 to 1e-7. Sets under SMALL shingles
+have, by size class, more bands than they can differ in; pairs with a set under TINY meet exactly, in two shingles of
+their prefixes. Before a pair is confirmed on the full sets, the registers' estimate, corrected for chance collisions,
+must be within six standard deviations.
+
+Equal sets are one node from the start, however many documents hold them. Every node is first compared with one head:
+of the heads of its bands the one it shares most bands with. A band's head is the node whose bands are the fullest, so
+the original from which thousands of copies were made is their head, and not any one of the copies, which are less
+like each other. Confirmed links are joined into components; then only pairs of a band that are still in different
+components are compared. So a group of thousands of near copies costs about a comparison each, and no link that would
+join two components is left out. Components are found with distributed edges; every step's result is written to the
+shared folder.
 
 Defined results: texts without words (null, empty) are linked with nothing; a text with fewer words than a shingle is
 one shingle; a null id is never the smallest id of a component, and a component of null ids only has a null id and is
-kept; rows that repeat id and text are kept together.
+kept; rows that repeat id and text are kept together, but deduplicated leaves one of them.
 """
 
 from __future__ import annotations
@@ -23,15 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import doc_key, materialize
+from vitrine.llm.common import discard, doc_key, materialize
 from vitrine.llm.components import components
 from vitrine.llm.shingles import mixed, shingle_set, words_of
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
-SMALL, STEP = 160, 1.25
+SMALL, STEP, TINY = 160, 1.25, 40
 REGISTERS = BANDS * ROWS
 #: Chance that two different minima of a bucket get the same register.
 COLLISION = 2.0**-MANTISSA
@@ -58,16 +62,23 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.clip((share - COLLISION) / (1 - COLLISION), 0, 1), used
 
 
-def _signed(n: int):
+def _prefix(shingles: np.ndarray, percent: int) -> bytes | None:
+    """Of a set that may be alike to one under TINY, the smallest hashes: two alike sets have two of these in common."""
+    n = len(shingles)
+    return shingles[: n - -(-n * percent // 100) + 2].tobytes() if n * percent < TINY * 100 else None
+
+
+def _signed(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, keys, regs = [], [], []
+            sizes, keys, regs, prefixes = [], [], [], []
             for words in words_of([t or b"" for t in b.column("text").to_pylist()]):
                 s = shingle_set(words, n)
                 sizes.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
                 regs.append(registers(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], names=["doc_id", "doc_key", "n_shingles", "set_key", "registers"])
+                prefixes.append(_prefix(s, percent))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary()), pa.array(prefixes, pa.binary())], names=["doc_id", "doc_key", "n_shingles", "set_key", "registers", "prefix"])
 
     return run
 
@@ -82,11 +93,12 @@ def _small_bands(size_class: int) -> int:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Band keys of sets (id, n, registers).
+    """Band keys of sets (id, n, registers, prefix).
 
     Sets of SMALL or more shingles have BANDS bands of ROWS registers; bands with fewer than 2 or 3 used registers say
-    too little and are left out. Sets under 1.25 * SMALL have bands by size class (their own and the next), as few as
-    the similarity allows, so that each holds several shingles.
+    too little and are left out. Sets from TINY to 1.25 * SMALL have bands by size class (their own and the next), as
+    few as the similarity allows, so that each holds several shingles. Sets with a prefix have a key for every two of
+    its hashes.
     """
     for b in batches:
         if not b.num_rows:
@@ -99,7 +111,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, band = np.nonzero((cut != 0).sum(2) >= np.where(sizes[large] < 2 * SMALL, 2, 3)[:, None])
         keys.append(hashed[row, band])
         owners.append(ids[large][row])
-        small = np.flatnonzero(sizes < STEP * SMALL)
+        small = np.flatnonzero((sizes >= TINY) & (sizes < STEP * SMALL))
         own = np.floor(np.log(sizes[small]) / np.log(STEP) + 1e-9).astype(int)
         for shift in (0, 1):
             for size_class in np.unique(own) + shift:
@@ -111,6 +123,12 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row, band = np.nonzero(used)
                 keys.append(hashed[row, band])
                 owners.append(ids[rows][row])
+        for i, prefix in zip(ids, b.column("prefix").to_pylist()):
+            if prefix:
+                hashes = np.frombuffer(prefix, np.uint64)
+                x, y = np.triu_indices(len(hashes), 1)
+                keys.append(mixed(hashes[x] * _ODD[0] + hashes[y] * _ODD[1]))
+                owners.append(np.full(len(x), i))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["band", "id"])
 
 
@@ -149,47 +167,76 @@ def _full(n: int):
     return run
 
 
+def _headed(shared: DataFrame) -> DataFrame:
+    """(a, b) of ids: for each node b the head a that it shares most bands with. shared: band, id, n, k, with the sizes of set and band."""
+    mass = shared.groupBy("id").agg(F.sum("k").alias("mass"))
+    heads = shared.join(mass, "id").groupBy("band").agg(F.max(F.struct("mass", (-F.col("id")).alias("head"), "n")).alias("h"))
+    heads = heads.select("band", (-F.col("h.head")).alias("head"), F.col("h.n").alias("n_head"))
+    met = shared.join(heads, "band").filter("id <> head").groupBy("id", "head").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("n_head").alias("n_head"))
+    return met.groupBy(F.col("id").alias("b")).agg(F.max_by("head", F.struct("common", "head")).alias("a"), F.max_by("n_head", F.struct("common", "head")).alias("n_a"), F.first("n").alias("n_b"))
+
+
+def _alike_sizes(percent: int) -> Column:
+    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+
+
 def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
     """Per row: doc_id, doc_key, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id)."""
     rows = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), F.col("text").cast("binary").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = materialize(rows.mapInArrow(_signed(words), f"doc_id {kind}, doc_key long, n_shingles long, set_key binary, registers binary"), "signed")
-    sets = signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min_by("doc_key", F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("doc_key"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    signed = materialize(rows.mapInArrow(_signed(words, percent), f"doc_id {kind}, doc_key binary, n_shingles long, set_key binary, registers binary, prefix binary"), "signed")
+    first = [F.first(c).alias(a) for c, a in (("n_shingles", "n"), ("registers", "registers"), ("prefix", "prefix"))]
+    sets = signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min_by("doc_key", F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("doc_key"), *first)
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")  # written once, so the ids stay
-    bands = sets.select("id", "n", "registers").mapInArrow(_banded, "band long, id long")
-    heads = bands.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = materialize(bands.join(heads, "band"), "bands")
+    bands = sets.select("id", "n", "registers", "prefix").mapInArrow(_banded, "band long, id long")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    shared = materialize(bands.join(sizes, "band").join(sets.select("id", "n"), "id"), "bands")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda x: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"regs_{x}"))
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        likely = materialize(sized.select("a", "b", "regs_a", "regs_b").mapInArrow(_likely(percent), "a long, b long"), "likely")
+        side = lambda x: sets.select(F.col("id").alias(x), F.col("registers").alias(f"regs_{x}"))
+        seen = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "regs_a", "regs_b")
+        likely = materialize(seen.mapInArrow(_likely(percent), "a long, b long"), "likely")
         wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = materialize(sets.select("id", "set_key", F.col("doc_key").alias("wanted_key")).join(wanted, "id", "left_semi"), "wanted")
+        wanted = sets.select("id", "set_key", F.col("doc_key").alias("wanted_key")).join(wanted, "id", "left_semi")
         texts = rows.select("doc_key", "text").join(wanted, F.col("doc_key") == F.col("wanted_key")).select("id", "set_key", "text")
         full = materialize(texts.mapInArrow(_full(words), "id long, full binary").dropDuplicates(["id"]), "full")
         side = lambda x: full.select(F.col("id").alias(x), F.col("full").alias(f"set_{x}"))
-        return materialize(likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+        links = materialize(likely.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a long, b long"), "links")
+        discard(likely, full)
+        return links
 
-    links = verified(shared.filter("id > head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct())
+    first_pairs = materialize(_headed(shared).filter(_alike_sizes(percent)).select("a", "b"), "headed")
+    links = verified(first_pairs)
     roots = components(links)
-    placed = shared.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = placed.filter("id <> head")
+    placed = shared.select("band", "id", "n").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed_bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
-    open_rows = materialize(placed.join(mixed_bands, "band", "left_semi").select("band", "id", "root"), "open")
-    other = open_rows.withColumnsRenamed({"id": "b", "root": "root_b"})
-    left = materialize(open_rows.withColumnsRenamed({"id": "a", "root": "root_a"}).join(other, "band").filter("a < b and root_a <> root_b").select("a", "b").distinct(), "left")
+    open_rows = materialize(placed.join(mixed_bands, "band", "left_semi").select("band", "id", "n", "root"), "open")
+    a, b = (open_rows.withColumnsRenamed({c: f"{c}_{x}" for c in ("n", "root")} | {"id": x}) for x in "ab")
+    left = a.join(b, "band").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _alike_sizes(percent)).select("a", "b").distinct()
+    done = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left = materialize(left.join(done, ["a", "b"], "left_anti"), "left")
     if not left.isEmpty():
-        roots = components(links.union(verified(left)))
+        more = verified(left)
+        roots = components(links.union(more))
+        discard(more)
+    discard(shared, open_rows, left, first_pairs, links)
     roots = sets.select("id", "set_key", "doc_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     lowest = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = roots.join(lowest, "root").select("set_key", "component_id")
+    named = materialize(roots.join(lowest, "root").select("set_key", "component_id"), "components")
+    discard(sets)
     out = signed.select("doc_id", "doc_key", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "doc_key", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each group of near duplicates."""
-    gone = materialize(near_duplicates(docs, words, percent).filter("not kept").select(F.col("doc_key").alias("gone")).distinct(), "gone")
-    return docs.join(gone, doc_key(docs["doc_id"], docs["text"]) == gone["gone"], "left_anti")
+    """docs with one document of each group of near duplicates, and one row of those that repeat id and text."""
+    found = near_duplicates(docs, words, percent)
+    gone = materialize(found.filter("not kept").select(F.col("doc_key").alias("gone")).distinct(), "gone")
+    twice = materialize(found.filter("kept").groupBy(F.col("doc_key").alias("twice")).count().filter("count > 1").select("twice"), "twice")
+    key = doc_key(docs["doc_id"], docs["text"])
+    kept = docs.join(gone, key == gone["gone"], "left_anti")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, key == twice["twice"], "left_anti")
+    return once.unionByName(kept.join(twice, key == twice["twice"], "left_semi").dropDuplicates(["doc_id", "text"]))
