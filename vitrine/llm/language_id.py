@@ -12,6 +12,7 @@ point; without labelled rows every text is `und`; extra columns are not used.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -20,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LETTER = re.compile(r"[^\W\d_]")
 MOST, LANDMARKS, RIDGE, BATCH = 2000, 256, 1e-3, 64
 LEAST_UNKNOWN = 0.25  # no text with a smaller share of unknown n-grams is rejected
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -47,6 +47,7 @@ class Model:
 
     def __init__(self, languages: list[str], vocabulary: np.ndarray, weights: np.ndarray, most_unknown: float = 1.0):
         self.languages, self.vocabulary, self.weights, self.most_unknown = languages, vocabulary, weights, most_unknown
+        self.digest = hashlib.md5(repr((languages, most_unknown)).encode() + vocabulary.tobytes() + weights.tobytes()).digest()
 
     def claims(self, known: int, n: int) -> bool:
         """Whether a text with so many n-grams, of which so many are known, is like the learned ones; in doubt it is."""
@@ -85,19 +86,24 @@ def fit(samples: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge
     return Model(languages, vocabulary, marks @ (root @ solved).astype(np.float32), most_unknown)
 
 
-_lookup: tuple[int, np.ndarray] | None = None
+_lookup: tuple[bytes, np.ndarray] | None = None  # of the last model, by its digest: a worker can meet several
 
 
-def predict(model: Model, texts: list[bytes | None], token: int = 0) -> tuple[list[str], list[float], list[bool]]:
+def has_letter(text: bytes | None) -> bool:
+    """Whether the text has a character of the general category L; numbers such as a half or a Roman eight are none."""
+    return bool(text) and any(map(str.isalpha, text.decode(errors="replace")))
+
+
+def predict(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[float], list[bool]]:
     """Language and score of each text, and whether it is like the learned ones."""
     global _lookup
-    if _lookup is None or _lookup[0] != token:
+    if _lookup is None or _lookup[0] != model.digest:
         places = np.full(SIZE, -1, np.int32)
         places[model.vocabulary] = np.arange(len(model.vocabulary))
-        _lookup = (token, places)
+        _lookup = (model.digest, places)
     places = _lookup[1]
     names, scores, claimed = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
-    todo = [i for i, t in enumerate(texts) if t and LETTER.search(t.decode(errors="replace"))]
+    todo = [i for i, t in enumerate(texts) if has_letter(t)]
     for k in range(0, len(todo), BATCH):
         part = todo[k : k + BATCH]
         presence = np.zeros((len(part), len(model.vocabulary)), np.float32)
@@ -116,15 +122,15 @@ def predict(model: Model, texts: list[bytes | None], token: int = 0) -> tuple[li
 
 
 def train(docs: DataFrame, learn: Column, most: int = MOST) -> Model | None:
-    """Learns from rows for which learn holds and lang isn't null: at most `most`, evenly by language, by hash of the text."""
+    """Learns from different texts for which learn holds and lang isn't null: at most `most` (or one of each language, if there are more), evenly by language, by hash of the text."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashed = rows.select("lang", F.col("text").cast("binary").alias("text"), F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 40)).alias("at"))
-    counts = {r["lang"]: r["count"] for r in hashed.groupBy("lang").count().orderBy("lang").limit(most).collect()}
+    counts = {r["lang"]: r["count"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("at").alias("count")).collect()}  # one row per language
     if not counts:
         return None
     share = max(1, most // len(counts))
     below = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1 << 40, 2 * share / n * (1 << 40)))))])
-    near = hashed.filter(F.col("at") < F.element_at(below, F.col("lang")))  # twice the share, before ranking
+    near = hashed.filter(F.col("at") < F.element_at(below, F.col("lang"))).dropDuplicates(["lang", "at"])  # twice the share, before ranking; a text that repeats takes one place
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,7 +152,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...], claime
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores, like = predict(sent.value, b.column("vitrine_text").to_pylist(), id(sent.value))
+            names, scores, like = predict(sent.value, b.column("vitrine_text").to_pylist())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), *[pa.array(like, pa.bool_())] * claimed], names=[*keep, "lang_pred", "score", *["claimed"] * claimed])
 
     return docs.select(*keep, F.col("text").cast("binary").alias("vitrine_text")).mapInArrow(run, f"{kept}, lang_pred string, score double" + ", claimed boolean" * claimed)

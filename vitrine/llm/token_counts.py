@@ -2,16 +2,19 @@
 
 The vocabulary is a trie; every node has a failure link to the node reached when the longest pieces of its string have
 been cut off, and the number of pieces so cut. A word's length in pieces then is a sum over one walk, without building
-any piece and without going back in the text. The automaton is built once per Python worker from the vocabulary file,
-whose pieces are sent with the task; counts of seen words are kept in a bounded memo.
+any piece and without going back in the text. The vocabulary file (a sentencepiece model, by default the one that this
+environment provides; any other by its path) is read on the driver and its pieces are sent with the tasks; the automaton
+is built once per Python worker, and counts of seen words are kept in a bounded memo.
 
 Words are runs of other than space and tab to carriage return. A word that no piece begins starts with the bare mark of
 a word's beginning, and a character without a piece counts as its bytes, if the vocabulary has these. Without them, a
-word that cannot be cut into pieces is one unknown piece. Defined results: null and empty texts have 0 words and pieces; repeated rows are counted alike.
+word that cannot be cut into pieces is one unknown piece. Defined results: null and empty texts have 0 words and pieces; repeated rows
+are counted alike; bytes that are not UTF-8 count as replacement characters.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import deque
 from collections.abc import Iterable, Iterator
 
@@ -123,14 +126,14 @@ class _Memo(dict):
         self.automaton = automaton
 
     def __missing__(self, word: bytes) -> int:
-        n = self.automaton.count(word.decode())
+        n = self.automaton.count(word.decode(errors="replace"))
         if len(self) >= MEMO:
             self.clear()
         self[word] = n
         return n
 
 
-_built: dict[int, _Memo] = {}
+_built: dict[bytes, _Memo] = {}
 
 
 def _counter(broadcast) -> _Memo:
@@ -141,13 +144,13 @@ def _counter(broadcast) -> _Memo:
 
 
 class _Pieces:
-    def __init__(self, pieces, path: str):
-        self.pieces, self.id = pieces, hash((path, len(pieces[0]), len(pieces[1])))
+    def __init__(self, pieces):
+        self.pieces, self.id = pieces, hashlib.md5(repr(pieces).encode()).digest()
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns of docs with n_words, n_tokens (an unknown word is one) and n_unknown."""
-    sent = docs.sparkSession.sparkContext.broadcast(_Pieces((*load_pieces(vocabulary), *load_fallbacks(vocabulary)), vocabulary))
+    sent = docs.sparkSession.sparkContext.broadcast(_Pieces((*load_pieces(vocabulary), *load_fallbacks(vocabulary))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _counter(sent.value)
