@@ -6,13 +6,16 @@ pairs that share enough windows the words behind the placeholders are compared a
 the item must stand for one value in the document, so a question with other parameters is caught, and a chance mix of
 placeholders isn't. Everything is DataFrame expressions.
 
-Names are capitalised words inside a sentence; numbers are words with a digit before any letter; units are listed
-words right after a number. Windows of which more than half is placeholders don't count. A pair is reported if
-LEAST_WINDOWS different windows of the item (all, if it has fewer) occur in consistent alignments. An item shorter than
-a window is one window of its own length.
+Names are capitalised words, also at the beginning of a sentence (there any word is one, on both sides); numbers are
+words with a digit before any letter; units are listed words right after a number. Windows of which more than half is
+placeholders say too little: they count only where the words themselves are the same. For them, and only if the
+benchmark has any, the windows of the documents' own words are joined as well. A pair is reported if LEAST_WINDOWS
+different windows of the item (all, if it has fewer) occur in consistent alignments. An item shorter than a window is
+one window of its own length.
 
 Defined results: null and empty texts have no windows and are clean; rows that repeat id and text are reported once;
-an empty benchmark leaves all documents clean; documents with a null id are reported with a null id.
+an empty benchmark leaves all documents clean; null ids of documents and items are reported as null; items that share
+an id are found each for itself, and reported once for each different number of windows or exactness.
 """
 
 from __future__ import annotations
@@ -20,94 +23,125 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import GAP, doc_key, materialize
+from vitrine.llm.common import doc_key, materialize
 
 WINDOW, LEAST_WINDOWS = 8, 6
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 UNITS = "kg g mg lb lbs oz t km m cm mm mi ft in yd l ml cl gal km/h mph m/s s sec h hr hrs min ms hz khz mhz ghz w kw kwh v a c f k € $ £ % eur usd gbp euro euros dollar dollars cent cents pound pounds meter meters metre metres kilometer kilometers mile miles foot feet inch inches gram grams kilogram kilograms liter liters litre litres second seconds minute minutes hour hours day days week weeks month months year years degree degrees percent".split()
-_S = r"\x20\x09-\x0D"
+_PLAIN = rf"[^ \p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}]+"
 
 
-def _words(text: Column) -> Column:
-    """Words with a letter or digit, as written."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?<![^{_S}])[^{_S}\p{{L}}\p{{Nd}}]+(?![^{_S}])", "")
-    return F.filter(F.split(bare, GAP), lambda w: w != "")
+def _spaced(text: Column) -> Column:
+    """The text with every blank a space, and without characters that stand for placeholders."""
+    text = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    for mark in (NAME, NUMBER, UNIT):
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
 
 
-def template(text: Column) -> Column:
-    """Template words; as many as _words has."""
+def _templated(spaced: Column) -> Column:
+    """The same words between the same spaces, each a placeholder, plain, or empty."""
     units = "|".join(u.replace("$", r"\$") for u in sorted(UNITS, key=lambda u: (-len(u), u)) if any(c.isalpha() for c in u))
-    t = F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, rf"(?<=[^{_S}.!?:|\"'»”)][\x20\x09])\p{{Lu}}[^{_S}]*", NAME)
-    t = F.regexp_replace(t, rf"(?<![^{_S}])[^{_S}\p{{L}}\p{{Nd}}{NAME}]*\p{{Nd}}[^{_S}]*", NUMBER)
-    t = F.regexp_replace(t, rf"(?i)(?<={NUMBER}[\x20\x09])(?:{units})(?=[{_S}.,;:!?)]|$)", UNIT)
-    t = F.regexp_replace(F.lower(t), rf"[^{_S}\p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}]+", "")
-    return F.filter(F.split(t, GAP), lambda w: w != "")
+    t = F.regexp_replace(spaced, r"(?<![^ ])[^ \p{L}\p{Nd}]*\p{Lu}[^ ]*", NAME)
+    t = F.regexp_replace(t, rf"(?<![^ ])[^ \p{{L}}\p{{Nd}}{NAME}]*\p{{Nd}}[^ ]*", NUMBER)
+    t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{units})(?=[ .,;:!?)]|$)", UNIT)
+    return F.regexp_replace(F.lower(t), _PLAIN, "")
+
+
+def _plain(spaced: Column) -> Column:
+    """The words themselves, lower-cased and stripped of punctuation."""
+    return F.regexp_replace(F.lower(spaced), _PLAIN, "")
+
+
+def _not_empty(words: Column) -> Column:
+    return F.array_remove(words, "")
+
+
+def template(text: Column) -> Column:
+    """Template words of a text."""
+    return _not_empty(F.split(_templated(_spaced(text)), " "))
+
+
+def tokens(text: Column) -> Column:
+    """Structs of template word (t), plain word (p) and word as written (raw): one list, so that places agree."""
+    spaced = _spaced(text)
+    each = F.arrays_zip(F.split(_templated(spaced), " ").alias("t"), F.split(_plain(spaced), " ").alias("p"), F.split(spaced, " ").alias("raw"))
+    return F.filter(each, lambda w: w["t"] != "")
 
 
 def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def _windows(words: Column, length: int) -> Column:
-    """Hashes of the windows of so many words, by position."""
+def _windows(words: Column, length: int, kind: int) -> Column:
+    """Hashes of the windows of so many words, by position. kind: 0 template words, 1 plain words."""
     hashed = F.array(F.transform(words, lambda w: F.xxhash64(w)))  # a lambda's variable is computed once, whatever the optimizer inlines
 
     def every(h: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.lit(length), F.slice(h, i, length)))
+        each = F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.lit(length + 1000 * kind), F.slice(h, i, length)))
         return F.when(F.size(h) >= length, each).otherwise(F.array().cast("array<bigint>"))
 
     return F.transform(hashed, every)[0]
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, length, item_pos, hash): the windows of the benchmark that count, each once per item."""
-    words = benchmark.select("item_id", template(F.col("text")).alias("words")).filter(F.size("words") > 0)
-    words = words.withColumn("length", F.least(F.lit(WINDOW), F.size("words")))
-    each = words.withColumn("item_pos", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1))).withColumn("window", F.slice("words", F.col("item_pos"), F.col("length")))
-    each = each.filter(F.size(F.filter("window", _is_slot)) * 2 <= F.col("length"))
-    each = each.withColumn("hash", F.xxhash64("length", F.transform("window", lambda w: F.xxhash64(w))))
-    return each.groupBy("item_id", "hash").agg(F.min("item_pos").alias("item_pos"), F.first("length").alias("length"))
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """(item_key, item_id, tokens): every different row of the benchmark with a word, under a key of its own."""
+    rows = benchmark.select("item_id", "text").withColumn("tokens", tokens(F.col("text"))).filter(F.size("tokens") > 0)
+    return rows.withColumn("item_key", doc_key(F.col("item_id"), F.col("text"))).dropDuplicates(["item_key"]).select("item_key", "item_id", "tokens")
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """(item_key, kind, length, item_pos, hash): the windows of the items, each once per item; kind 1 where the words themselves must agree."""
+    words = items.withColumn("length", F.least(F.lit(WINDOW), F.size("tokens")))
+    each = words.withColumn("item_pos", F.explode(F.sequence(F.lit(1), F.size("tokens") - F.col("length") + 1))).withColumn("window", F.slice("tokens", F.col("item_pos"), F.col("length")))
+    heavy = F.size(F.filter("window", lambda w: _is_slot(w["t"]))) * 2 > F.col("length")
+    each = each.withColumn("kind", heavy.cast("int"))
+    hashes = F.transform("window", lambda w: F.xxhash64(F.when(F.col("kind") == 1, w["p"]).otherwise(w["t"])))
+    each = each.withColumn("hash", F.xxhash64(F.col("length") + 1000 * F.col("kind"), hashes))
+    return each.groupBy("item_key", "hash").agg(F.min("item_pos").alias("item_pos"), F.first("length").alias("length"), F.first("kind").alias("kind"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, doc_key, item_id, n_windows, item_windows, exact): the pairs of document and leaked item; exact: no value was changed."""
-    windows = materialize(item_windows(benchmark), "item-windows")
-    totals = windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    lengths = sorted({WINDOW} | {r[0] for r in windows.select("length").distinct().collect()})  # WINDOW of them at most
-    words = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), template(F.col("text")).alias("words"))
-    each = F.posexplode(F.concat(*[_windows(F.col("words"), n) for n in lengths]) if len(lengths) > 1 else _windows(F.col("words"), WINDOW))
-    found = words.select("doc_key", each).withColumnRenamed("col", "hash")
-    if len(lengths) > 1:  # positions of the concatenated windows start again for every length
-        size = F.col("n_words")
-        found = words.select("doc_key", F.size("words").alias("n_words"), each).withColumnRenamed("col", "hash")
-        start, pos = F.lit(0), F.col("pos")
-        for n in lengths[:-1]:
-            start = start + F.greatest(size - n + 1, F.lit(0))
-            pos = F.when(F.col("pos") >= start, F.col("pos") - start).otherwise(pos)
-        found = found.select("doc_key", pos.alias("pos"), "hash")
-    hits = found.join(windows, "hash").select("doc_key", "item_id", (F.col("pos") + 1).alias("pos"), "item_pos", "length", "hash")
-    enough = F.col("n") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
-    hits = hits.groupBy("doc_key", "item_id").agg(F.count_distinct("hash").alias("n"), F.collect_set(F.struct("pos", "item_pos", "length")).alias("at"))
-    hits = materialize(hits.join(totals, "item_id").filter(enough).drop("n"), "leaks")
-    keys = hits.select("doc_key").distinct()
-    raw = lambda df, *c: df.select(*c, _words(F.col("text")).alias("raw"), template(F.col("text")).alias("words"))
+    items = materialize(benchmark_items(benchmark), "items")
+    windows = materialize(item_windows(items), "item-windows")
+    totals = windows.groupBy("item_key").agg(F.count(F.lit(1)).alias("item_windows"))
+    shapes = sorted({(0, WINDOW)} | {tuple(r) for r in windows.select("kind", "length").distinct().collect()})  # 2 * WINDOW of them at most
+    spaced = _spaced(F.col("text"))
+    words = {0: _not_empty(F.split(_templated(spaced), " ")), 1: _not_empty(F.split(_plain(spaced), " "))}
     keyed = docs.select("doc_id", "text", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"))
-    there = raw(keyed.join(keys, "doc_key", "left_semi"), "doc_id", "doc_key").dropDuplicates(["doc_key"])
-    items = raw(benchmark, "item_id").select("item_id", F.col("raw").alias("item_raw"), F.col("words").alias("item_words"))
-    pairs = hits.join(there, "doc_key").join(items, "item_id")
+    hits = None
+    for kind in sorted({k for k, _ in shapes}):
+        lengths = [n for k, n in shapes if k == kind]
+        listed = keyed.select("doc_key", words[kind].alias("words"))
+        each = F.array(*[F.struct(F.lit(n).alias("length"), _windows(F.col("words"), n, kind).alias("hashes")) for n in lengths])
+        found = listed.select("doc_key", F.explode(each).alias("w")) if len(lengths) > 1 else listed.select("doc_key", F.struct(_windows(F.col("words"), lengths[0], kind).alias("hashes")).alias("w"))
+        found = found.select("doc_key", F.posexplode("w.hashes").alias("pos", "hash")).join(windows.filter(F.col("kind") == kind), "hash")
+        # an alignment has no more places than the item
+        found = found.select("doc_key", "item_key", (F.col("pos") + 1 - F.col("item_pos")).alias("line"), "item_pos", "length", "kind", "hash")
+        hits = found if hits is None else hits.unionByName(found)
+    enough = F.col("n") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
+    lines = hits.groupBy("doc_key", "item_key", "line").agg(F.collect_set(F.struct("item_pos", "length", "kind", "hash")).alias("at"))
+    lines = materialize(lines, "alignments")
+    likely = lines.select("doc_key", "item_key", F.explode("at.hash").alias("hash")).groupBy("doc_key", "item_key").agg(F.count_distinct("hash").alias("n")).join(totals, "item_key").filter(enough).drop("n")
+    lines = lines.join(likely, ["doc_key", "item_key"])
+    there = keyed.join(lines.select("doc_key").distinct(), "doc_key", "left_semi").select("doc_key", "doc_id", tokens(F.col("text")).alias("there")).dropDuplicates(["doc_key"])
+    pairs = lines.join(there, "doc_key").join(items, "item_key")
 
     def slots(m: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(0), m["length"] - 1), lambda k: F.struct(F.element_at("item_words", (m["item_pos"] + k).cast("int")).alias("slot"), F.element_at("item_raw", (m["item_pos"] + k).cast("int")).alias("item"), F.element_at("raw", (m["pos"] + k).cast("int")).alias("doc")))
+        each = F.transform(F.sequence(F.lit(0), m["length"] - 1), lambda k: F.struct(F.element_at("tokens", (m["item_pos"] + k).cast("int")).alias("item"), F.element_at("there", (F.col("line") + m["item_pos"] + k).cast("int")).alias("doc")))
         strip = lambda c: F.regexp_replace(c, r"^[^\p{L}\p{Nd}]+|[^\p{L}\p{Nd}]+$", "")
-        return F.transform(F.filter(each, lambda s: _is_slot(s["slot"])), lambda s: F.struct(strip(s["item"]).alias("item"), strip(s["doc"]).alias("doc")))
+        return F.transform(F.filter(each, lambda s: _is_slot(s["item"]["t"])), lambda s: F.struct(strip(s["item"]["raw"]).alias("item"), strip(s["doc"]["raw"]).alias("doc")))
 
-    lines = pairs.withColumn("m", F.explode("at")).select("doc_id", "doc_key", "item_id", "item_windows", (F.col("m.pos") - F.col("m.item_pos")).alias("line"), F.col("m.item_pos").alias("item_pos"), slots(F.col("m")).alias("slots"))
-    lines = lines.groupBy("doc_id", "doc_key", "item_id", "item_windows", "line").agg(F.collect_set("item_pos").alias("seen"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    compared = pairs.withColumn("slots", F.array_distinct(F.flatten(F.transform(F.filter("at", lambda m: m["kind"] == 0), slots))))
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    exact = F.forall("slots", lambda s: s["item"] == s["doc"])
-    out = lines.filter(consistent).groupBy("doc_id", "doc_key", "item_id", "item_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).cast("long").alias("n"), F.bool_and(exact).alias("exact"))
-    return out.filter(enough).select("doc_id", "doc_key", "item_id", F.col("n").alias("n_windows"), "item_windows", "exact")
+    seen = F.when(consistent, F.transform("at", lambda m: m["hash"])).otherwise(F.transform(F.filter("at", lambda m: m["kind"] == 1), lambda m: m["hash"]))
+    exact = ~consistent | F.forall("slots", lambda s: s["item"] == s["doc"])
+    each = compared.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", F.explode(seen).alias("hash"), exact.alias("exact"))
+    out = each.groupBy("doc_id", "doc_key", "item_id", "item_key", "item_windows").agg(F.count_distinct("hash").alias("n"), F.bool_and("exact").alias("exact")).filter(enough)
+    return out.select("doc_id", "doc_key", "item_id", F.col("n").alias("n_windows"), F.col("item_windows").cast("long").alias("item_windows"), "exact").distinct()
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
