@@ -6,15 +6,18 @@ TAILS classes by their last three bytes and share their class by smoothed counts
 P(word) = P(class | state) * P(word | class, state) is a distribution over all words, one unseen per tail class
 included. The state is a GRU's; it is carried across windows of WINDOW tokens through the whole text.
 
-Training is truncated back-propagation in numpy (Adagrad) on all training texts: every partition trains from the same
-start, where the model equals the class unigram model, and the weights are averaged, by tokens, in a tree. No weights
-but averages of FAN come to the driver.
+Every text is encoded once, as numbers of model inputs. Training is truncated back-propagation in numpy (Adagrad) over
+all training texts, each once. Their pieces of PIECE tokens at most are spread by hash over shards of some SHARD
+tokens, and the shards over ROUNDS rounds: in a round every shard trains from the same weights (at first those of the
+class unigram model), and the weights are averaged, by tokens, in a tree. So the result depends on the texts and not on
+how they are partitioned, and only averages come to the driver. Lanes of texts run side by side, NARROW at first (STEPS
+windows), then twice as many, up to WIDTH.
 
 In scoring, texts of one chunk are sorted by length and run side by side. Counts of the KNOWN most frequent words are
 sent to the tasks (a fixed number); all other words meet the counts in a join.
 
 Defined results: a null text is the empty text: one end token. Repeated rows score alike. Without training texts the
-model is uniform over its classes.
+model is uniform over its classes. Bytes that are not UTF-8 count as replacement characters.
 """
 
 from __future__ import annotations
@@ -30,10 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import drop_clashing, materialize
+from vitrine.llm.common import discard, drop_clashing, materialize
 
 HEAD, CLASS, TAILS, HIDDEN, WINDOW = 1024, 32, 32, 24, 32
-KNOWN, EPOCHS, BATCH, RATE, FAN, CHUNK = 1 << 17, 2, 48, 0.1, 64, 1_500_000
+KNOWN, WIDTH, NARROW, STEPS, RATE, FAN, CHUNK = 1 << 17, 128, 8, 8, 0.1, 64, 1_500_000
+SHARD, ROUNDS, PIECE = 1_000_000, 4, 1 << 16
 HEADS = HEAD // CLASS
 CLASSES, INPUTS = HEADS + TAILS, HEAD + TAILS
 END = "\n"  # no word
@@ -44,6 +48,13 @@ def tail_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % TAILS
 
 
+def _strings(words: list[bytes]) -> pa.Array:
+    try:
+        return pa.array(words, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([w.decode(errors="replace") for w in words], pa.string())
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, tail, c) over a column `text` of bytes; the end token included."""
 
@@ -52,7 +63,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             words = list(counts)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array([tail_of(w) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "tail", "c"])
+            return pa.RecordBatch.from_arrays([_strings(words), pa.array([tail_of(w) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "tail", "c"])
 
         for b in batches:
             for t in b.column("text").to_pylist():
@@ -80,20 +91,20 @@ class Lexicon:
         self.counts = np.array([c for _, _, c in head], np.float64)
         sums = np.array([tail_sums.get(t, 0.0) + 0.1 for t in range(TAILS)])
         for w, t, c in words:  # tail_sums are over all words; the head isn't in the tail
-            if self.numbers[w.encode()] < len(head):
+            if w != END and self.numbers[w.encode()] < len(head):  # the end is not in the sums
                 sums[t] -= c + 0.1
         self.tail_sums = np.maximum(sums, 0.1)
 
     def start(self) -> dict[str, np.ndarray]:
         """Weights of the class unigram model."""
         rng = np.random.default_rng(11)
-        counts = np.zeros(HEAD)
-        counts[: len(self.counts)] = self.counts
-        mass = np.concatenate([(counts + 1e-3).reshape(HEADS, CLASS).sum(1), self.tail_sums])
+        counts = np.full(HEAD, 1e-30)  # places without a word have no probability
+        counts[: len(self.counts)] = self.counts + 1e-3
+        mass = np.concatenate([counts.reshape(HEADS, CLASS).sum(1), self.tail_sums])
         f = lambda x: np.asarray(x, np.float32)
         return {
             "wx": f(rng.normal(0, 0.3, (INPUTS, 3 * HIDDEN))), "uzr": f(rng.normal(0, 0.1, (HIDDEN, 2 * HIDDEN))), "uc": f(rng.normal(0, 0.1, (HIDDEN, HIDDEN))),
-            "wc": f(np.zeros((HIDDEN, CLASSES))), "bc": f(np.log(mass / mass.sum())), "wo": f(np.zeros((HEADS, HIDDEN, CLASS))), "bo": f(np.log((counts + 1e-3).reshape(HEADS, CLASS))),
+            "wc": f(np.zeros((HIDDEN, CLASSES))), "bc": f(np.log(mass / mass.sum())), "wo": f(np.zeros((HEADS, HIDDEN, CLASS))), "bo": f(np.log(counts.reshape(HEADS, CLASS))),
         }
 
     def encode(self, text: bytes | None) -> tuple[np.ndarray, list[bytes]]:
@@ -110,12 +121,14 @@ class Lexicon:
         return np.where(numbers >= 0, self.inputs[np.maximum(numbers, 0)], HEAD - 1 - numbers).astype(np.int32)
 
 
-def _recur(w: dict, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States of the steps of x (steps, texts), and the last."""
+def _recur(w: dict, x: np.ndarray, h: np.ndarray, keep: list | None = None, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """States of the steps of x (steps, texts), and the last. live: 0 where a text begins."""
     g = w["wx"][x]
     out = np.empty((len(x), *h.shape), np.float32)
     uzr, uc = w["uzr"], w["uc"]
     for t in range(len(x)):
+        if live is not None:
+            h = h * live[t]
         zr = h @ uzr
         zr += g[t, :, : 2 * HIDDEN]
         zr *= 0.5
@@ -163,13 +176,14 @@ def _log_likelihood(w: dict, states: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h: np.ndarray) -> np.ndarray:
     """One update by back-propagation through a window; returns the last states."""
     keep: list = []
-    states, last = _recur(w, x, h, keep)
+    live = (x != 0).astype(np.float32)[:, :, None]  # after an end, another text begins
+    states, last = _recur(w, x, h, keep, live)
     at_t, at_n = np.nonzero(mask)
     flat, target = states[at_t, at_n], y[at_t, at_n]
     n = len(target)
     grad = {}
     p = flat @ w["wc"] + w["bc"]
-    p = np.exp(p - p.max(1, keepdims=True))
+    np.exp(p, out=p)
     p /= p.sum(1, keepdims=True)
     p[np.arange(n), _class_of(target)] -= 1
     grad["wc"], grad["bc"] = flat.T @ p, p.sum(0)
@@ -177,7 +191,7 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
     heads, wo, bo = [], [], []
     for k, at in _by_class(target):
         q = flat[at] @ w["wo"][k] + w["bo"][k]
-        q = np.exp(q - q.max(1, keepdims=True))
+        np.exp(q, out=q)
         q /= q.sum(1, keepdims=True)
         q[np.arange(len(at)), target[at] % CLASS] -= 1
         heads.append(k)
@@ -198,16 +212,14 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
         grad["uc"] += (r * before).T @ dc
         grad["uzr"] += before.T @ dzr
         dg[t, :, : 2 * HIDDEN], dg[t, :, 2 * HIDDEN :] = dzr, dc
-        dh = dh * (1 - z) + drh * r + dzr @ w["uzr"].T
-    order = np.argsort(x.ravel(), kind="stable")
-    sorted_x = x.ravel()[order]
-    firsts = np.flatnonzero(np.diff(sorted_x, prepend=-1))
-    rows = {"wx": sorted_x[firsts]}
-    grad["wx"] = np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
+        dh = (dh * (1 - z) + drh * r + dzr @ w["uzr"].T) * live[t]
+    rows = {}
+    places = x.ravel()[:, None] * (3 * HIDDEN) + np.arange(3 * HIDDEN)
+    grad["wx"] = np.bincount(places.ravel(), dg.ravel(), w["wx"].size).astype(np.float32).reshape(w["wx"].shape)
     if heads:
         rows["wo"] = rows["bo"] = np.array(heads)
         grad["wo"], grad["bo"] = np.stack(wo), np.stack(bo)
-    for k, g in grad.items():  # rows left out have no gradient and stay as they are
+    for k, g in grad.items():  # classes left out have no gradient and stay as they are
         at = rows.get(k, slice(None))
         g /= n
         np.clip(g, -1, 1, out=g)
@@ -233,17 +245,27 @@ def _windows(inputs: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.nda
         yield n, x, y, mask
 
 
-def train_on(lexicon: Lexicon, inputs: list[np.ndarray]) -> dict[str, np.ndarray]:
-    w = lexicon.start()
-    past = {k: np.full_like(v, 1e-3) for k, v in w.items()}
-    for epoch in range(EPOCHS):
-        order = np.random.default_rng(epoch).permutation(len(inputs))
-        for k in range(0, len(order), BATCH):
-            part = sorted((inputs[i] for i in order[k : k + BATCH]), key=len, reverse=True)
-            h = np.zeros((len(part), HIDDEN), np.float32)
-            for n, x, y, mask in _windows(part):
-                h = _step(w, past, x, y, mask, h[:n])
-    return w
+def train_on(state: dict[str, np.ndarray], inputs: list[np.ndarray], width: int = WIDTH) -> dict[str, np.ndarray]:
+    """Weights and sums of squared gradients (`past.` before the name) after one pass over the texts, in their order.
+
+    The texts follow each other in one stream; a stretch of it is cut into `width` lanes that run side by side, window
+    by window. A lane carries its state on, from 0 where a text begins.
+    """
+    w = {k: v for k, v in state.items() if not k.startswith("past.")}
+    past = {k: state[f"past.{k}"] for k in w}
+    y = np.concatenate(inputs)
+    x = np.concatenate([np.zeros(1, y.dtype), y[:-1]])
+    at = 0
+    while at < len(y):
+        stretch = len(y) - at if width >= WIDTH else min(len(y) - at, WINDOW * STEPS * width)
+        long = -(-stretch // width)
+        lanes = np.minimum(at + np.arange(width)[None, :] * long + np.arange(long)[:, None], len(y) - 1)
+        mask = np.arange(width)[None, :] * long + np.arange(long)[:, None] < stretch
+        h = np.zeros((width, HIDDEN), np.float32)
+        for t in range(0, long, WINDOW):
+            h = _step(w, past, x[lanes[t : t + WINDOW]], y[lanes[t : t + WINDOW]], mask[t : t + WINDOW], h)
+        at, width = at + stretch, min(WIDTH, 2 * width)
+    return w | {f"past.{k}": v for k, v in past.items()}
 
 
 def score_chunk(w: dict, inputs: list[np.ndarray]) -> np.ndarray:
@@ -277,79 +299,127 @@ def _unpacked(blob: bytes, like: dict) -> dict:
 
 def _averaged(key, rows):
     total, weight = None, 0
+    rows = rows.sort_by("part")
     for blob, n in zip(rows.column("blob").to_pylist(), rows.column("n").to_pylist()):
         part = np.frombuffer(blob, np.float32).astype(np.float64) * n
         total, weight = part if total is None else total + part, weight + n
     return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([weight], pa.int64()), "blob": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())})
 
 
-def learn(docs: DataFrame, training: Column) -> tuple[DataFrame, Lexicon, dict[str, np.ndarray]]:
-    """Counts of all words of the training texts (written to the shared folder), the lexicon, and the weights."""
-    spark = docs.sparkSession
-    texts = docs.filter(training).select(F.col("text").cast("binary").alias("text"))
-    counts = materialize(word_counts(texts), "counts")
+def _frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words with counts above a bound, `most` at most; the bound is found by sums over counts of equal leading bits."""
+    c = F.col("c")
+    bits = F.floor(F.log2(c)).cast("int")
+    level = F.when(c < 4096, c).otherwise(bits * 4096 + F.floor((c / F.pow(F.lit(2.0), bits) - 1) * 4096).cast("long"))  # some 200,000 levels at most
+    found, bound = 0, None
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).orderBy(F.desc("level")).collect():
+        found += r["n"]
+        if found > most:
+            break
+        bound = r["least"]
+    return counts.filter(c >= bound) if bound is not None else counts.filter("false")
+
+
+def lexicon_of(counts: DataFrame) -> Lexicon:
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    words = [tuple(r) for r in counts.orderBy(F.desc("c"), "word").limit(KNOWN).select("word", "tail", "c").collect()]
-    sums = {r[0]: float(r[1]) for r in counts.filter(F.col("word") != END).groupBy("tail").agg(F.sum(F.col("c") + 0.1)).collect()}
-    lexicon = Lexicon(words, sums, int(n), int(v))
-    sent = spark.sparkContext.broadcast(lexicon)
+    words = sorted((tuple(r) for r in _frequent(counts, KNOWN).select("word", "tail", "c").collect()), key=lambda x: (-x[2], x[0].encode()))
+    if all(w != END for w, _, _ in words):
+        words += [tuple(r) for r in counts.filter(F.col("word") == END).select("word", "tail", "c").collect()]
+    sums = {r[0]: float(r[1]) for r in counts.filter(F.col("word") != END).groupBy("tail").agg(F.sum("c").cast("double") + 0.1 * F.count(F.lit(1))).collect()}
+    return Lexicon(words, sums, int(n), int(v))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inputs = [sent.value.to_inputs(sent.value.encode(t)[0]) for b in batches for t in b.column("text").to_pylist()]
-        if inputs:
-            weights = train_on(sent.value, inputs)
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sum(map(len, inputs))], pa.int64()), pa.array([_packed(weights)], pa.binary())], names=["part", "n", "blob"])
 
+def encoded(docs: DataFrame, held_out: Column, lexicon: Lexicon) -> DataFrame:
+    """Per row: what its tokens say without the network (n_tokens, n_known, base_score and share, in logarithms to 10), the rare words, and the model's inputs (2 bytes each)."""
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon)
+    base_log = math.log10(lexicon.n + 0.1 * (lexicon.v + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = sent.value
+        tail_logs = np.log10(lexicon.tail_sums)
+        row = TaskContext.get().partitionId() << 40
+        for b in batches:
+            columns: list[list] = [[] for _ in range(7)]
+            for text in b.column("text").to_pylist():
+                numbers, unknown = lexicon.encode(text)
+                x = lexicon.to_inputs(numbers)
+                known = numbers[numbers >= 0]
+                logs = lexicon.logs[known]
+                share = logs[known >= HEAD].sum() - tail_logs[x[x >= HEAD] - HEAD].sum()
+                for column, value in zip(columns, (row, len(numbers), len(known), share, logs.sum() - len(numbers) * base_log, [w.decode(errors="replace") for w in unknown], x.astype(np.uint16).tobytes())):
+                    column.append(value)
+                row += 1
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), b.column("order"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["doc_id", "held_out", "order", "row_id", "n_tokens", "n_known", "share", "base_score", "unknown", "inputs"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.xxhash64("doc_id", "text").alias("order"), F.col("text").cast("binary").alias("text"))
+    return materialize(rows.mapInArrow(run, "doc_id long, held_out boolean, order long, row_id long, n_tokens long, n_known long, share double, base_score double, unknown array<string>, inputs binary"), "encoded")
+
+
+def learned(rows: DataFrame, lexicon: Lexicon) -> dict[str, np.ndarray]:
+    """The weights after ROUNDS rounds over all training rows of encoded."""
+    spark = rows.sparkSession
+    shards = max(1, -(-lexicon.n // SHARD))
+    pieces = rows.filter(~F.col("held_out")).select("order", "inputs", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_tokens") - 1) / PIECE))).alias("piece"))
+    pieces = pieces.select("order", "piece", F.expr(f"substring(inputs, cast(piece * {2 * PIECE} + 1 as int), {2 * PIECE})").alias("inputs"), F.pmod(F.xxhash64("order", "piece"), F.lit(shards)).alias("shard"))
+    state = lexicon.start()
+    state |= {f"past.{k}": np.full_like(v, 1e-3) for k, v in state.items()}
     shape = "part long, n long, blob binary"
-    made = materialize(texts.mapInArrow(run, shape), "weights", "snappy")
-    while (parts := made.count()) > 1:
-        made = materialize(made.withColumn("part", F.pmod("part", F.lit(max(1, parts // FAN)))).groupBy("part").applyInArrow(_averaged, shape), "weights", "snappy")
-    got = made.collect()
-    return counts, lexicon, _unpacked(bytes(got[0]["blob"]), lexicon.start()) if got else lexicon.start()
+    rounds = min(ROUNDS, shards)
+    for r in range(rounds):
+        sent = spark.sparkContext.broadcast(_packed(state))
+        shapes = {k: np.empty(v.shape, np.float32) for k, v in state.items()}
+
+        def run(key, rows, sent=sent, shapes=shapes, width=NARROW if r == 0 else WIDTH):
+            rows = rows.sort_by([("order", "ascending"), ("piece", "ascending")])
+            inputs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows.column("inputs").to_pylist()]
+            made = train_on(_unpacked(sent.value, shapes), inputs, width)
+            return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([sum(map(len, inputs))], pa.int64()), "blob": pa.array([_packed(made)], pa.binary())})
+
+        made = materialize(pieces.filter(F.pmod("shard", F.lit(rounds)) == r).groupBy("shard").applyInArrow(run, shape), "weights", "snappy")
+        while (parts := made.count()) > 1:
+            narrower = materialize(made.withColumn("part", F.pmod(F.floor(F.col("part") / rounds), F.lit(max(1, parts // FAN)))).groupBy("part").applyInArrow(_averaged, shape), "weights", "snappy")
+            discard(made)
+            made = narrower
+        got = made.collect()
+        discard(made)
+        if got:
+            state = _unpacked(bytes(got[0]["blob"]), shapes)
+    return {k: v for k, v in state.items() if not k.startswith("past.")}
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned from the rows not held out."""
     docs = drop_clashing(docs, "row_id", "unknown")
-    counts, lexicon, weights = learn(docs, ~held_out)
-    sent = docs.sparkSession.sparkContext.broadcast((lexicon, weights))
-    base_log = math.log10(lexicon.n + 0.1 * (lexicon.v + 1))
+    counts = materialize(word_counts(docs.filter(~held_out).select(F.col("text").cast("binary").alias("text"))), "counts")
+    lexicon = lexicon_of(counts)
+    rows = encoded(docs, held_out, lexicon)
+    sent = docs.sparkSession.sparkContext.broadcast(learned(rows, lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = sent.value
-        tail_logs = np.log10(lexicon.tail_sums)
-        row = TaskContext.get().partitionId() << 40
-        rows, inputs, size = [], [], 0
+        parts, inputs, size = [], [], 0
 
         def out() -> pa.RecordBatch:
-            logs = score_chunk(weights, inputs) / math.log(10)
-            cols = [list(x) for x in zip(*rows)]
-            cols[5] = [s + x for s, x in zip(cols[5], logs)]
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["row_id", "doc_id", "held_out", "n_tokens", "n_known", "score", "base_score", "unknown"])
+            logs = score_chunk(sent.value, inputs) / math.log(10)
+            done = pa.concat_tables([pa.Table.from_batches([p]) for p in parts]).combine_chunks()
+            columns = {c: done.column(c) for c in ("row_id", "doc_id", "held_out", "n_tokens", "n_known", "base_score")}
+            return pa.table(columns | {"score": pa.array(done.column("share").to_numpy() + logs)}).to_batches()[0]
 
         for b in batches:
-            for doc_id, held, text in zip(b.column("doc_id").to_pylist(), b.column("held_out").to_pylist(), b.column("text").to_pylist()):
-                numbers, unknown = lexicon.encode(text)
-                x = lexicon.to_inputs(numbers)
-                known = numbers[numbers >= 0]
-                logs = lexicon.logs[known]
-                tails = x[x >= HEAD] - HEAD
-                share = logs[known >= HEAD].sum() - tail_logs[tails].sum()
-                rows.append((row, doc_id, held, len(numbers), len(known), share, logs.sum() - len(numbers) * base_log, [w.decode() for w in unknown]))
-                inputs.append(x)
-                row, size = row + 1, size + len(x)
-                if size > CHUNK:
-                    yield out()
-                    rows, inputs, size = [], [], 0
-        if rows:
+            parts.append(b.drop_columns(["inputs"]))
+            new = [np.frombuffer(x, np.uint16).astype(np.int32) for x in b.column("inputs").to_pylist()]
+            inputs.extend(new)
+            size += sum(map(len, new))
+            if size > CHUNK:
+                yield out()
+                parts, inputs, size = [], [], 0
+        if inputs:
             yield out()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("binary").alias("text"))
-    done = materialize(rows.mapInArrow(run, "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, score double, base_score double, unknown array<string>"), "scored")
-    rare = done.select("row_id", F.explode("unknown").alias("word")).groupBy("row_id", "word").agg(F.count(F.lit(1)).alias("k")).join(counts.select("word", "c"), "word", "left")
+    scored = rows.drop("unknown", "order").mapInArrow(run, "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    rare = rows.select("row_id", F.explode("unknown").alias("word")).groupBy("row_id", "word").agg(F.count(F.lit(1)).alias("k")).join(counts.select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     rare = rare.groupBy("row_id").agg(F.sum(F.col("k") * F.log10(c + 0.1)).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more_known"))
-    out = done.drop("unknown").join(rare, "row_id", "left")
+    out = scored.join(rare, "row_id", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(lexicon.n).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
