@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import decontaminate, language_id, mixing, near_dedup, sharding
-from vitrine.llm.common import fold, materialize, table
+from vitrine.llm.common import discard, fold, materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def make_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A shard and a slot for every document of the mix; equal texts stay together."""
-    return sharding.shard(docs, 8, keep=("doc_id", "lang", "source", "n_chars"))
+    """The documents of the mix, each with a shard and a slot; equal texts stay together."""
+    return sharding.shard(docs, 8, keep=docs.columns)
 
 
 STAGES = [
@@ -49,5 +49,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"stage{i + 1}")
+        done, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage{i + 1}")
+        discard(done)
     return docs
