@@ -356,6 +356,16 @@ def encoded(docs: DataFrame, held_out: Column, lexicon: Lexicon) -> DataFrame:
     return materialize(rows.mapInArrow(run, "doc_id long, held_out boolean, order long, row_id long, n_tokens long, n_known long, share double, base_score double, unknown array<string>, inputs binary"), "encoded")
 
 
+def _trained(sent, shapes: dict[str, np.ndarray], width: int):
+    def run(key, rows):
+        rows = rows.sort_by([("order", "ascending"), ("piece", "ascending")])
+        inputs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows.column("inputs").to_pylist()]
+        made = train_on(_unpacked(sent.value, shapes), inputs, width)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([sum(map(len, inputs))], pa.int64()), "blob": pa.array([_packed(made)], pa.binary())})
+
+    return run
+
+
 def learned(rows: DataFrame, lexicon: Lexicon) -> dict[str, np.ndarray]:
     """The weights after ROUNDS rounds over all training rows of encoded."""
     spark = rows.sparkSession
@@ -370,13 +380,7 @@ def learned(rows: DataFrame, lexicon: Lexicon) -> dict[str, np.ndarray]:
         sent = spark.sparkContext.broadcast(_packed(state))
         shapes = {k: np.empty(v.shape, np.float32) for k, v in state.items()}
 
-        def run(key, rows, sent=sent, shapes=shapes, width=NARROW if r == 0 else WIDTH):
-            rows = rows.sort_by([("order", "ascending"), ("piece", "ascending")])
-            inputs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows.column("inputs").to_pylist()]
-            made = train_on(_unpacked(sent.value, shapes), inputs, width)
-            return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([sum(map(len, inputs))], pa.int64()), "blob": pa.array([_packed(made)], pa.binary())})
-
-        made = materialize(pieces.filter(F.pmod("shard", F.lit(rounds)) == r).groupBy("shard").applyInArrow(run, shape), "weights", "snappy")
+        made = materialize(pieces.filter(F.pmod("shard", F.lit(rounds)) == r).groupBy("shard").applyInArrow(_trained(sent, shapes, NARROW if r == 0 else WIDTH), shape), "weights", "snappy")
         while (parts := made.count()) > 1:
             narrower = materialize(made.withColumn("part", F.pmod(F.floor(F.col("part") / rounds), F.lit(max(1, parts // FAN)))).groupBy("part").applyInArrow(_averaged, shape), "weights", "snappy")
             discard(made)
