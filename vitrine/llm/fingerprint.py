@@ -10,7 +10,8 @@ collision) is counted by the difference of the sets. Likeness is 1 - differing /
 Everything is DataFrame expressions. A text's digests are spread over groups of about PER_GROUP before they are
 sketched, so work is linear in the text's length.
 
-Defined results: a null text counts as empty; empty texts have no paragraph and equal fingerprints.
+Defined results: a null text counts as empty; empty texts have no paragraph and equal fingerprints; of rows with the
+same id the one with the smaller md5 of the text is first, and rows with null ids are last.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PASSAGE, CELLS, PER_GROUP, SPREAD, RETRIES, PER_BUCKET = 120, 24, 8, 4, 2, 2000
+PASSAGE, CELLS, PER_GROUP, SPREAD, RETRIES, PER_BUCKET, QUANTILES = 120, 24, 8, 4, 2, 2000, 256
 PART = CELLS // 3
 
 
@@ -148,13 +149,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, digests (of its paragraphs), next (text and digests of the next row), and the row's key: bucket and row.
 
     Rows are in order of doc_id (null last), then of their text's md5; after the last comes the first. They are put in
-    buckets of consecutive ids, about PER_BUCKET rows each where ids are spread evenly, so that a row's next is in its
-    bucket or is the first of the next bucket; the texts are shuffled once.
+    buckets of consecutive ids, so that a row's next is in its bucket or is the first of the next bucket: QUANTILES of the
+    ids, and between two of them some PER_BUCKET rows each, if the ids are spread evenly there. Texts are shuffled once.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    buckets = max(1, n // PER_BUCKET)
-    width = max(1, ((high or 0) - (low or 0) + 1) // buckets + 1)
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)), F.lit(buckets + 1)).cast("long")
+    n, edges = docs.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", [i / QUANTILES for i in range(QUANTILES + 1)], 20 * QUANTILES)).first()
+    edges = sorted(set(edges or [0]))
+    within = max(1, n // (len(edges) * PER_BUCKET))
+    bucket = F.coalesce(_bucket(F.col("doc_id"), edges, within), F.lit(len(edges) * within)).cast("long")
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), bucket.alias("bucket"))
     order = [F.col("doc_id").asc_nulls_last(), F.md5("text")]
     run = Window.partitionBy("bucket").orderBy(*order)
@@ -170,6 +171,22 @@ def with_next(docs: DataFrame) -> DataFrame:
     return rows.select("bucket", "row", "doc_id", "text", "digests", F.coalesce("next", "edge").alias("next"))
 
 
+def _bucket(doc_id: Column, edges: list[int], within: int) -> Column:
+    """Number of a row's bucket, never falling as the id rises; ids before the first edge are with those at it."""
+
+    def place(low: int, high: int) -> Column:
+        if high - low == 1:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(doc_id < F.lit(edges[mid]), place(low, mid)).otherwise(place(mid, high))
+
+    starts = F.array(*[F.lit(float(e)) for e in edges])
+    steps = F.array(*[F.lit(max(1.0, float(b) - float(a))) for a, b in zip(edges, [*edges[1:], edges[-1]])])
+    at = F.when(doc_id.isNotNull(), place(0, len(edges)))
+    share = (doc_id.cast("double") - F.get(starts, at)) / F.get(steps, at)
+    return at * within + F.least(F.lit(within - 1), F.greatest(F.lit(0), F.floor(share * within)))
+
+
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Per row: fingerprints of its text and of the text whose last quarter is the beginning of the next row's text, and their likeness.
 
