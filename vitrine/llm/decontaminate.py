@@ -8,10 +8,10 @@ placeholders isn't. Everything is DataFrame expressions.
 
 Names are capitalised words, also at the beginning of a sentence (there any word is one, on both sides); numbers are
 words with a digit before any letter; units are listed words right after a number. Windows of which more than half is
-placeholders say too little: they count only where the words themselves are the same. For them, and only if the
-benchmark has any, the windows of the documents' own words are joined as well. A pair is reported if LEAST_WINDOWS
-different windows of the item (all, if it has fewer) occur in consistent alignments. An item shorter than a window is
-one window of its own length.
+placeholders say too little: they count only where the words themselves are the same. The windows of the words
+themselves are joined as well, so that a copy is found whatever its capitals. A pair is reported if LEAST_WINDOWS
+different windows of the item (all, if it has fewer) occur in consistent alignments, or as the words themselves. An item
+shorter than a window is one window of its own length.
 
 Defined results: null and empty texts have no windows and are clean; rows that repeat id and text are reported once;
 an empty benchmark leaves all documents clean; null ids of documents and items are reported as null; items that share
@@ -93,22 +93,23 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_key, kind, length, item_pos, hash): the windows of the items, each once per item; kind 1 where the words themselves must agree."""
+    """(item_key, kind, heavy, length, item_pos, hash): the windows of the items, each once per item: of template words (kind 0), if they aren't mostly placeholders, and of the words themselves (kind 1)."""
     words = items.withColumn("length", F.least(F.lit(WINDOW), F.size("tokens")))
     each = words.withColumn("item_pos", F.explode(F.sequence(F.lit(1), F.size("tokens") - F.col("length") + 1))).withColumn("window", F.slice("tokens", F.col("item_pos"), F.col("length")))
-    heavy = F.size(F.filter("window", lambda w: _is_slot(w["t"]))) * 2 > F.col("length")
-    each = each.withColumn("kind", heavy.cast("int"))
+    each = each.withColumn("heavy", F.size(F.filter("window", lambda w: _is_slot(w["t"]))) * 2 > F.col("length"))
+    each = each.withColumn("kind", F.explode(F.array(F.lit(0), F.lit(1)))).filter("kind = 1 or not heavy")
     hashes = F.transform("window", lambda w: F.xxhash64(F.when(F.col("kind") == 1, w["p"]).otherwise(w["t"])))
     each = each.withColumn("hash", F.xxhash64(F.col("length") + 1000 * F.col("kind"), hashes))
-    return each.groupBy("item_key", "hash").agg(F.min("item_pos").alias("item_pos"), F.first("length").alias("length"), F.first("kind").alias("kind"))
+    return each.groupBy("item_key", "hash").agg(F.min("item_pos").alias("item_pos"), F.first("length").alias("length"), F.first("kind").alias("kind"), F.bool_or("heavy").alias("heavy"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, doc_key, item_id, n_windows, item_windows, exact): the pairs of document and leaked item; exact: no value was changed."""
     items = materialize(benchmark_items(benchmark), "items")
     windows = materialize(item_windows(items), "item-windows")
-    totals = windows.groupBy("item_key").agg(F.count(F.lit(1)).alias("item_windows"))
-    shapes = sorted({(0, WINDOW)} | {tuple(r) for r in windows.select("kind", "length").distinct().collect()})  # 2 * WINDOW of them at most
+    templated = (F.col("kind") == 0) | F.col("heavy")  # the windows of which some may be re-parameterised
+    totals = windows.groupBy("item_key").agg(F.count_if(templated).alias("item_windows"), F.count_if(F.col("kind") == 1).alias("item_plain"))
+    shapes = sorted({(0, WINDOW)} | {tuple(r) for r in windows.select("kind", "length").distinct().collect()})  # two kinds, and WINDOW lengths of each at most
     spaced = _spaced(F.col("text"))
     words = {0: _not_empty(F.split(_templated(spaced), " ")), 1: _not_empty(F.split(_plain(spaced), " "))}
     keyed = docs.select("doc_id", "text", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"))
@@ -120,12 +121,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = listed.select("doc_key", F.explode(each).alias("w")) if len(lengths) > 1 else listed.select("doc_key", F.struct(_windows(F.col("words"), lengths[0], kind).alias("hashes")).alias("w"))
         found = found.select("doc_key", F.posexplode("w.hashes").alias("pos", "hash")).join(windows.filter(F.col("kind") == kind), "hash")
         # an alignment has no more places than the item
-        found = found.select("doc_key", "item_key", (F.col("pos") + 1 - F.col("item_pos")).alias("line"), "item_pos", "length", "kind", "hash")
+        found = found.select("doc_key", "item_key", (F.col("pos") + 1 - F.col("item_pos")).alias("line"), "item_pos", "length", "kind", "heavy", "hash")
         hits = found if hits is None else hits.unionByName(found)
-    enough = F.col("n") >= F.least(F.lit(LEAST_WINDOWS), F.col("item_windows"))
-    lines = hits.groupBy("doc_key", "item_key", "line").agg(F.collect_set(F.struct("item_pos", "length", "kind", "hash")).alias("at"))
+    reached = lambda n, total: F.col(n) >= F.least(F.lit(LEAST_WINDOWS), F.col(total))
+    enough = reached("n", "item_windows") | reached("n_plain", "item_plain")
+    counts = [F.count_distinct(F.when(templated, F.col("hash"))).alias("n"), F.count_distinct(F.when(F.col("kind") == 1, F.col("hash"))).alias("n_plain")]
+    lines = hits.groupBy("doc_key", "item_key", "line").agg(F.collect_set(F.struct("item_pos", "length", "kind", "heavy", "hash")).alias("at"))
     lines = materialize(lines, "alignments")
-    likely = lines.select("doc_key", "item_key", F.explode("at.hash").alias("hash")).groupBy("doc_key", "item_key").agg(F.count_distinct("hash").alias("n")).join(totals, "item_key").filter(enough).drop("n")
+    likely = lines.select("doc_key", "item_key", F.explode("at").alias("m")).select("doc_key", "item_key", "m.*").groupBy("doc_key", "item_key").agg(*counts).join(totals, "item_key").filter(enough).drop("n", "n_plain")
     lines = lines.join(likely, ["doc_key", "item_key"])
     there = keyed.join(lines.select("doc_key").distinct(), "doc_key", "left_semi").select("doc_key", "doc_id", tokens(F.col("text")).alias("there")).dropDuplicates(["doc_key"])
     pairs = lines.join(there, "doc_key").join(items, "item_key")
@@ -137,11 +140,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     compared = pairs.withColumn("slots", F.array_distinct(F.flatten(F.transform(F.filter("at", lambda m: m["kind"] == 0), slots))))
     consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    seen = F.when(consistent, F.transform("at", lambda m: m["hash"])).otherwise(F.transform(F.filter("at", lambda m: m["kind"] == 1), lambda m: m["hash"]))
+    seen = F.when(consistent, F.col("at")).otherwise(F.filter("at", lambda m: m["kind"] == 1))
     exact = ~consistent | F.forall("slots", lambda s: s["item"] == s["doc"])
-    each = compared.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", F.explode(seen).alias("hash"), exact.alias("exact"))
-    out = each.groupBy("doc_id", "doc_key", "item_id", "item_key", "item_windows").agg(F.count_distinct("hash").alias("n"), F.bool_and("exact").alias("exact")).filter(enough)
-    return out.select("doc_id", "doc_key", "item_id", F.col("n").alias("n_windows"), F.col("item_windows").cast("long").alias("item_windows"), "exact").distinct()
+    each = compared.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", "item_plain", exact.alias("exact"), F.explode(seen).alias("m")).select("*", "m.*")
+    out = each.groupBy("doc_id", "doc_key", "item_id", "item_key", "item_windows", "item_plain").agg(*counts, F.bool_and("exact").alias("exact")).filter(enough)
+    plain = reached("n_plain", "item_plain")
+    found = F.greatest(F.col("n"), F.when(plain, F.col("n_plain")).otherwise(0))
+    return out.select("doc_id", "doc_key", "item_id", found.alias("n_windows"), F.greatest("item_windows", F.when(plain, F.col("item_plain")).otherwise(0)).cast("long").alias("item_windows"), (F.col("exact") | plain).alias("exact")).distinct()
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
