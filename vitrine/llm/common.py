@@ -54,7 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go when it is done, and Python gets texts and sets in small batches.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 _left: dict[str, SparkSession] = {}
 
 
@@ -65,12 +66,14 @@ def materialize(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/vitrine/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in WRITING}
     try:
+        for k, v in WRITING.items():
+            spark.conf.set(k, v)
         df.write.option("compression", compression).parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     _left[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out.vitrine_path = path

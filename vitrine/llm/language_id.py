@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST, LANDMARKS, RIDGE, BATCH = 2000, 256, 1e-3, 64
+MOST, LANDMARKS, RIDGE, BATCH, SLICE = 2000, 256, 1e-3, 64, 512
 LEAST_UNKNOWN = 0.25  # no text with a smaller share of unknown n-grams is rejected
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SPACES = re.compile(rb" {2,}")
@@ -98,8 +98,8 @@ def predict(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[fl
     """Language and score of each text, and whether it is like the learned ones."""
     global _lookup
     if _lookup is None or _lookup[0] != model.digest:
-        places = np.full(SIZE, -1, np.int32)
-        places[model.vocabulary] = np.arange(len(model.vocabulary))
+        places = np.zeros(SIZE, np.int32)  # pages that nothing is written to take no memory
+        places[model.vocabulary] = np.arange(1, len(model.vocabulary) + 1)
         _lookup = (model.digest, places)
     places = _lookup[1]
     names, scores, claimed = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
@@ -109,7 +109,7 @@ def predict(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[fl
         presence = np.zeros((len(part), len(model.vocabulary)), np.float32)
         for row, i in enumerate(part):
             g = grams(texts[i])
-            at = places[g]
+            at = places[g] - 1
             at = at[at >= 0]
             presence[row, at] = 1 / np.sqrt(len(g))
             claimed[i] = bool(model.claims(len(at), len(g)))
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...], claime
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             names, scores, like = predict(sent.value, b.column("vitrine_text").to_pylist())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), *[pa.array(like, pa.bool_())] * claimed], names=[*keep, "lang_pred", "score", *["claimed"] * claimed])
 
