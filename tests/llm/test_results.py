@@ -258,3 +258,21 @@ def test_next_of_odd_ids(spark, ids):
         assert {(r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprint.fingerprint_edits(docs).collect()} == want
     finally:
         fingerprint.PER_BUCKET = before
+
+
+def test_strangers_of_a_band_are_discarded_in_the_join(spark, monkeypatch):
+    rows = [(i, f"one and the same {' '.join(f'w{i}x{j}' for j in range(8))}", "en", "s", 1) for i in range(200)]
+    counts, write = [], near_dedup.materialize
+    monkeypatch.setattr(near_dedup, "materialize", lambda df, tag, *more: (out := write(df, tag, *more), counts.append(out.count()) if tag == "left" else None)[0])
+    assert near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS)).filter("kept").count() == 200
+    assert counts == [0]
+
+
+def test_pairs_of_a_family_are_confirmed_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4000)  # a set has some 1600 bytes
+    rng = np.random.default_rng(5)
+    base = [f"w{j}" for j in range(200)]
+    texts = {i: " ".join(f"t{i}x{j}" if j in gone else w for j, w in enumerate(base)) for i in range(40) for gone in [set(rng.choice(200, int(rng.integers(6, 16)), False))]}
+    sets = {i: set(shingle_set(w, 2).tolist()) for i, w in zip(texts, words_of([t.encode() for t in texts.values()]))}
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], DOCS)
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(rows).collect()} == _components(texts, _links(sets))
