@@ -276,3 +276,35 @@ def test_pairs_of_a_family_are_confirmed_in_blocks(spark, monkeypatch):
     sets = {i: set(shingle_set(w, 2).tolist()) for i, w in zip(texts, words_of([t.encode() for t in texts.values()]))}
     rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], DOCS)
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(rows).collect()} == _components(texts, _links(sets))
+
+
+@pytest.mark.parametrize("setting", [{"SPACED": 0}, {"COUNTED": 1 << 30}, {"TEXTS": 64}, {"TEXTS": 1 << 22}])
+def test_lines_of_all_sizes(spark, monkeypatch, setting):
+    """The words are joined by size, rarity is unknown, or the bitmap of texts is full: the result is the same."""
+    for name, value in setting.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(150):  # sizes 1 to 40, alike across size classes too
+        words = [f"f{i % 25}w{j}" for j in range(1 + 13 * (i % 25) % 40)]
+        gone = set(rng.choice(len(words), int(rng.integers(0, 1 + len(words) // 4)), False))
+        rows.append((i if i % 30 else None, " ".join([w for j, w in enumerate(words) if j not in gone] + [f"x{i}"] * int(rng.integers(0, 2))) + f"\nown{i} line", "en", "s", 1))
+    lines = [(d is None, d, n, t, frozenset(x.split())) for d, t, *_ in rows for n, x in enumerate(t.split("\n"))]
+    known = sorted((x for x in lines if not x[0]), key=lambda x: x[1:3])
+    want = Counter((d, n) for k, (_, d, n, _, w) in enumerate(known) if w and any(5 * len(w & v[4]) >= 4 * len(w | v[4]) for v in known[:k]))
+    got = line_dedup.line_report(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    assert Counter((r.doc_id, n) for r in got for n in r.removed if r.doc_id is not None) == want and len(got) == 150
+
+
+def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
+    rows = [(i, f"{i}a {i}b {i}c {i}d {i}e" if i > 1 else f"u v w x y z{i * ' more'}", "en", "s", 1) for i in range(400)]
+    asked, build = [], line_dedup._Lines.verified
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def verified(self, pairs):
+        asked.append(line_dedup.texts_of(self.docs, self.groups.select("place.doc_id", "place.text_hash").filter("doc_id < 2")).count())
+        return build(self, pairs)
+
+    monkeypatch.setattr(line_dedup._Lines, "verified", verified)
+    assert [r.doc_id for r in line_dedup.line_report(docs).filter("n_removed > 0").collect()] == [1]
+    assert asked == [2, 2]
