@@ -308,3 +308,33 @@ def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(line_dedup._Lines, "verified", verified)
     assert [r.doc_id for r in line_dedup.line_report(docs).filter("n_removed > 0").collect()] == [1]
     assert asked == [2, 2]
+
+
+def test_language_model_gradients(spark):
+    """One update by back-propagation against numerical gradients, texts that begin inside a window included."""
+    rng = np.random.default_rng(2)
+    words = [("\n", 0, 9)] + [(f"w{i}", language_model.tail_of(f"w{i}".encode()), 50 - i % 40) for i in range(1, 90)]
+    w = {k: v + rng.normal(0, 0.2, v.shape).astype(np.float32) for k, v in language_model.Lexicon(words, {}, 1000, 90).start().items()}
+    w["bo"] = np.maximum(w["bo"], -5)
+    y = rng.integers(0, 90, (6, 4))
+    y[2, 1] = 0  # an end
+    x = np.concatenate([np.zeros((1, 4), int), y[:-1]])
+    x[4, 2] = y[5, 3] = language_model.HEAD + 3  # of a tail class
+    live = (x != 0).astype(np.float32)[:, :, None]
+    h = np.zeros((4, language_model.HIDDEN), np.float32)
+
+    def loss(w, mask):
+        return -language_model._log_likelihood(w, language_model._recur(w, x, h, None, live)[0][mask], y[mask]).mean()
+
+    for mask in (np.ones(y.shape, bool), rng.random(y.shape) < 0.7):
+        after, past = {k: v.copy() for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
+        language_model._step(after, past, x, y, mask, h)  # past: the squares of the gradients
+        for k in w:
+            for at in np.argsort(past[k].ravel())[-3:]:
+                near = []
+                for d in (1e-2, -1e-2):
+                    moved = {n: v.astype(np.float64) for n, v in w.items()}
+                    moved[k].ravel()[at] += d
+                    near.append(loss({n: v.astype(np.float32) for n, v in moved.items()}, mask))
+                grad = np.sign(w[k].ravel()[at] - after[k].ravel()[at]) * np.sqrt(past[k].ravel()[at])
+                assert abs((near[0] - near[1]) / 2e-2 - grad) < 2e-3 + 0.02 * abs(grad), k

@@ -26,6 +26,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +112,8 @@ class Lexicon:
         """Numbers of the words (unknown ones: -1 - tail class), with the end; and the unknown words."""
         words = (text or b"").lower().split()
         get = self.numbers.get
-        numbers = np.array([get(w, -1) for w in words] + [0], np.int32)
+        numbers = np.zeros(len(words) + 1, np.int32)
+        numbers[:-1] = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         missing = np.flatnonzero(numbers < 0)
         unknown = [words[i] for i in missing]
         numbers[missing] = [-1 - tail_of(w) for w in unknown]
@@ -122,27 +124,30 @@ class Lexicon:
 
 
 def _recur(w: dict, x: np.ndarray, h: np.ndarray, keep: list | None = None, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States of the steps of x (steps, texts), and the last. live: 0 where a text begins."""
-    g = w["wx"][x]
+    """States of the steps of x (steps, texts), and the last. live: 0 where a text begins. keep: gets each step's state before, gates and candidate."""
+    half = np.concatenate([np.full(2 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)])  # sigmoid(x) = tanh(x / 2) / 2 + 1 / 2
+    g = (w["wx"] * half)[x]
     out = np.empty((len(x), *h.shape), np.float32)
-    uzr, uc = w["uzr"], w["uc"]
+    uzr, uc = w["uzr"] * np.float32(0.5), w["uc"]
     for t in range(len(x)):
         if live is not None:
             h = h * live[t]
-        zr = h @ uzr
+        zr = np.matmul(h, uzr, out=keep[1][t] if keep else None)
         zr += g[t, :, : 2 * HIDDEN]
-        zr *= 0.5
         np.tanh(zr, out=zr)
         zr *= 0.5
         zr += 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = (r * h) @ uc
+        c = np.matmul(r * h, uc, out=keep[2][t] if keep else None)
         c += g[t, :, 2 * HIDDEN :]
         np.tanh(c, out=c)
-        if keep is not None:
-            keep.append((h, z, r, c))
-        h = h + z * (c - h)
-        out[t] = h
+        if keep:
+            keep[0][t] = h
+        new = out[t]
+        np.subtract(c, h, out=new)
+        new *= z
+        new += h
+        h = new
     return out, h
 
 
@@ -150,14 +155,12 @@ def _class_of(y: np.ndarray) -> np.ndarray:
     return np.where(y < HEAD, y // CLASS, y - HEAD + HEADS)
 
 
-def _by_class(y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the targets of each head class."""
+def _by_class(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Places of the targets in head classes, class by class, and each class's slice of them."""
     kinds = np.minimum(y // CLASS, HEADS).astype(np.uint8)
     order = np.argsort(kinds, kind="stable")
     ends = np.searchsorted(kinds[order], np.arange(HEADS + 1))
-    for k in range(HEADS):
-        if ends[k + 1] > ends[k]:
-            yield k, order[ends[k] : ends[k + 1]]
+    return order[: ends[HEADS]], [(k, slice(ends[k], ends[k + 1])) for k in range(HEADS) if ends[k + 1] > ends[k]]
 
 
 def _log_likelihood(w: dict, states: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -166,20 +169,23 @@ def _log_likelihood(w: dict, states: np.ndarray, y: np.ndarray) -> np.ndarray:
     logits = states @ w["wc"]
     logits += w["bc"]
     out = logits[np.arange(len(y)), kinds] - np.log(np.exp(logits, out=logits).sum(1))
-    for k, at in _by_class(y):
-        logits = states[at] @ w["wo"][k]
-        logits += w["bo"][k]
-        out[at] += logits[np.arange(len(at)), y[at] % CLASS] - np.log(np.exp(logits, out=logits).sum(1))
+    order, classes = _by_class(y)
+    own, place = states[order], y[order] % CLASS
+    logits = np.empty((len(order), CLASS), np.float32)
+    for k, at in classes:
+        np.matmul(own[at], w["wo"][k], out=logits[at])
+        logits[at] += w["bo"][k]
+    out[order] += logits[np.arange(len(order)), place] - np.log(np.exp(logits, out=logits).sum(1))
     return out
 
 
 def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h: np.ndarray) -> np.ndarray:
     """One update by back-propagation through a window; returns the last states."""
-    keep: list = []
+    keep = before, zr, c = [np.empty((*x.shape, k * HIDDEN), np.float32) for k in (1, 2, 1)]
     live = (x != 0).astype(np.float32)[:, :, None]  # after an end, another text begins
     states, last = _recur(w, x, h, keep, live)
-    at_t, at_n = np.nonzero(mask)
-    flat, target = states[at_t, at_n], y[at_t, at_n]
+    whole = mask.all()
+    flat, target = (states.reshape(-1, HIDDEN), y.ravel()) if whole else (states[mask], y[mask])
     n = len(target)
     grad = {}
     p = flat @ w["wc"] + w["bc"]
@@ -189,37 +195,57 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
     grad["wc"], grad["bc"] = flat.T @ p, p.sum(0)
     d_flat = p @ w["wc"].T
     heads, wo, bo = [], [], []
-    for k, at in _by_class(target):
-        q = flat[at] @ w["wo"][k] + w["bo"][k]
-        np.exp(q, out=q)
-        q /= q.sum(1, keepdims=True)
-        q[np.arange(len(at)), target[at] % CLASS] -= 1
+    order, classes = _by_class(target)
+    own, place = flat[order], target[order] % CLASS
+    q = np.empty((len(order), CLASS), np.float32)
+    for k, at in classes:
+        np.matmul(own[at], w["wo"][k], out=q[at])
+        q[at] += w["bo"][k]
+    np.exp(q, out=q)
+    q /= q.sum(1, keepdims=True)
+    q[np.arange(len(order)), place] -= 1
+    d_own = np.empty_like(own)
+    for k, at in classes:
         heads.append(k)
-        wo.append(flat[at].T @ q)
-        bo.append(q.sum(0))
-        d_flat[at] += q @ w["wo"][k].T
-    d_states = np.zeros_like(states)
-    d_states[at_t, at_n] = d_flat
+        wo.append(own[at].T @ q[at])
+        bo.append(q[at].sum(0))
+        np.matmul(q[at], w["wo"][k].T, out=d_own[at])
+    d_flat[order] += d_own
+    if whole:
+        d_states = d_flat.reshape(states.shape)
+    else:
+        d_states = np.zeros_like(states)
+        d_states[mask] = d_flat
     dg = np.empty((*x.shape, 3 * HIDDEN), np.float32)
-    grad["uzr"], grad["uc"] = np.zeros_like(w["uzr"]), np.zeros_like(w["uc"])
+    dzr, dc = dg[:, :, : 2 * HIDDEN], dg[:, :, 2 * HIDDEN :]
+    z, r = np.ascontiguousarray(zr[:, :, :HIDDEN]), np.ascontiguousarray(zr[:, :, HIDDEN:])
+    rest = 1 - z
+    to_c, to_z, to_r = z * (1 - c * c), (c - before) * z * rest, before * r * (1 - r)
+    uc, uzr = np.ascontiguousarray(w["uc"].T), np.ascontiguousarray(w["uzr"].T)
     dh = np.zeros_like(h)
     for t in range(len(x) - 1, -1, -1):
-        before, z, r, c = keep[t]
-        dh = dh + d_states[t]
-        dc = dh * z * (1 - c * c)
-        drh = dc @ w["uc"].T
-        dzr = np.concatenate([dh * (c - before) * z * (1 - z), drh * before * r * (1 - r)], 1)
-        grad["uc"] += (r * before).T @ dc
-        grad["uzr"] += before.T @ dzr
-        dg[t, :, : 2 * HIDDEN], dg[t, :, 2 * HIDDEN :] = dzr, dc
-        dh = (dh * (1 - z) + drh * r + dzr @ w["uzr"].T) * live[t]
+        dh += d_states[t]
+        np.multiply(dh, to_c[t], out=dc[t])
+        drh = dc[t] @ uc
+        np.multiply(dh, to_z[t], out=dzr[t, :, :HIDDEN])
+        np.multiply(drh, to_r[t], out=dzr[t, :, HIDDEN:])
+        dh *= rest[t]
+        drh *= r[t]
+        dh += drh
+        dh += dzr[t] @ uzr
+        dh *= live[t]
+    flat_dg, flat_before = dg.reshape(-1, 3 * HIDDEN), before.reshape(-1, HIDDEN)
+    grad["uc"] = (r.reshape(-1, HIDDEN) * flat_before).T @ flat_dg[:, 2 * HIDDEN :]
+    grad["uzr"] = flat_before.T @ flat_dg[:, : 2 * HIDDEN]
     rows = {}
-    places = x.ravel()[:, None] * (3 * HIDDEN) + np.arange(3 * HIDDEN)
-    grad["wx"] = np.bincount(places.ravel(), dg.ravel(), w["wx"].size).astype(np.float32).reshape(w["wx"].shape)
+    order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+    met = x.ravel()[order]
+    first = np.flatnonzero(np.diff(met, prepend=-1))
+    rows["wx"], grad["wx"] = met[first], np.add.reduceat(flat_dg[order], first, axis=0)
     if heads:
         rows["wo"] = rows["bo"] = np.array(heads)
         grad["wo"], grad["bo"] = np.stack(wo), np.stack(bo)
-    for k, g in grad.items():  # classes left out have no gradient and stay as they are
+    for k, g in grad.items():  # inputs and classes left out have no gradient and stay as they are
         at = rows.get(k, slice(None))
         g /= n
         np.clip(g, -1, 1, out=g)
