@@ -296,6 +296,22 @@ def test_lines_of_all_sizes(spark, monkeypatch, setting):
     assert Counter((r.doc_id, n) for r in got for n in r.removed if r.doc_id is not None) == want and len(got) == 150
 
 
+def test_words_meet_once_and_at_alike_sizes(spark):
+    """Of two classes with a common word the smaller looks it up among its first words only, and a frequent word meets alike sizes only."""
+    prefix = lambda n: n - math.ceil(0.8 * n) + 1
+    sizes = [5, 6, 8, 10, 12, 13, 20, 25, 26, 40, 50, 200]
+    for rare in (0, 99):  # all words are frequent, or none
+        rows = [(i, n, 0, 0, i, 0, rare, [7, *range(1000 * i, 1000 * i + prefix(n) - 2), 8], False) for i, n in enumerate(sizes)]
+        flags = spark.createDataFrame(rows, "id long, n int, bits0 long, bits1 long, doc_id long, line int, rare int, prefix array<int>, settled boolean")
+        small, large = line_dedup.word_sides(flags, 80)
+        met = [tuple(r) for r in line_dedup._side(small, "s").join(line_dedup._side(large, "l"), "word").filter("id_s != id_l").select("id_s", "id_l").collect()]
+        at_first = {(i, j) for i in range(len(sizes)) for j in range(len(sizes)) if i != j}
+        if rare:  # word 7 is at all places the first, word 8 beyond the first words of sets of 8 or more
+            assert at_first <= set(met) and len(met) < 1.5 * len(at_first)
+        else:
+            assert {(i, j) for i, j in at_first if 0 <= j - i and sizes[i] >= 0.8 * sizes[j]} <= set(met) and len(met) < 0.5 * len(at_first)
+
+
 def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
     rows = [(i, f"{i}a {i}b {i}c {i}d {i}e" if i > 1 else f"u v w x y z{i * ' more'}", "en", "s", 1) for i in range(400)]
     asked, build = [], line_dedup._Lines.verified
