@@ -296,6 +296,15 @@ def test_lines_of_all_sizes(spark, monkeypatch, setting):
     assert Counter((r.doc_id, n) for r in got for n in r.removed if r.doc_id is not None) == want and len(got) == 150
 
 
+def test_windows_are_hashed_in_compiled_code(spark):
+    rows = [(0, list(range(10))), (1, [5]), (2, []), (3, [7, 8])]
+    windows = decontaminate._windows(spark.createDataFrame(rows, "doc_key long, hashed array<long>"), [1, 2, 8], 1)
+    assert not [x for x in windows._jdf.queryExecution().executedPlan().toString().split("\n") if "slice(" in x and "lambda" in x]
+    want = [(d, i, h[i : i + n]) for d, h in rows for n in (1, 2, 8) for i in range(len(h) - n + 1)]
+    hashes = spark.createDataFrame(want, "doc_key long, pos int, w array<long>").select("doc_key", "pos", F.xxhash64(F.size("w") + 1000, "w").alias("hash"))
+    assert sorted(map(tuple, windows.select("doc_key", "pos", "hash").collect())) == sorted(map(tuple, hashes.collect()))
+
+
 def test_words_meet_once_and_at_alike_sizes(spark):
     """Of two classes with a common word the smaller looks it up among its first words only, and a frequent word meets alike sizes only."""
     prefix = lambda n: n - math.ceil(0.8 * n) + 1

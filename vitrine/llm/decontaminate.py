@@ -75,15 +75,15 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def _windows(words: Column, length: int, kind: int) -> Column:
-    """Hashes of the windows of so many words, by position. kind: 0 template words, 1 plain words."""
-    hashed = F.array(F.transform(words, lambda w: F.xxhash64(w)))  # a lambda's variable is computed once, whatever the optimizer inlines
+def _windows(hashed: DataFrame, lengths: list[int], kind: int) -> DataFrame:
+    """Hashes of the windows of so many words, by position. hashed: rows with the hashes of their words. kind: 0 template words, 1 plain words.
 
-    def every(h: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.lit(length + 1000 * kind), F.slice(h, i, length)))
-        return F.when(F.size(h) >= length, each).otherwise(F.array().cast("array<bigint>"))
-
-    return F.transform(hashed, every)[0]
+    The rows are taken apart before the windows are hashed, as that is compiled and an expression of a lambda isn't.
+    """
+    each = hashed.withColumn("length", F.explode(F.array(*[F.lit(n) for n in lengths])))
+    last = F.size("hashed") - F.col("length")
+    each = each.withColumn("pos", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))))
+    return each.withColumn("hash", F.xxhash64(F.col("length") + 1000 * kind, F.slice("hashed", F.col("pos") + 1, F.col("length")))).drop("hashed", "length")
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -116,10 +116,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = None
     for kind in sorted({k for k, _ in shapes}):
         lengths = [n for k, n in shapes if k == kind]
-        listed = keyed.select("doc_key", words[kind].alias("words"))
-        each = F.array(*[F.struct(F.lit(n).alias("length"), _windows(F.col("words"), n, kind).alias("hashes")) for n in lengths])
-        found = listed.select("doc_key", F.explode(each).alias("w")) if len(lengths) > 1 else listed.select("doc_key", F.struct(_windows(F.col("words"), lengths[0], kind).alias("hashes")).alias("w"))
-        found = found.select("doc_key", F.posexplode("w.hashes").alias("pos", "hash")).join(windows.filter(F.col("kind") == kind), "hash")
+        hashed = keyed.select("doc_key", F.transform(words[kind], lambda w: F.xxhash64(w)).alias("hashed"))
+        found = _windows(hashed, lengths, kind).join(windows.filter(F.col("kind") == kind), "hash")
         # an alignment has no more places than the item
         found = found.select("doc_key", "item_key", (F.col("pos") + 1 - F.col("item_pos")).alias("line"), "item_pos", "length", "kind", "heavy", "hash")
         hits = found if hits is None else hits.unionByName(found)
