@@ -305,6 +305,22 @@ def test_windows_are_hashed_in_compiled_code(spark):
     assert sorted(map(tuple, windows.select("doc_key", "pos", "hash").collect())) == sorted(map(tuple, hashes.collect()))
 
 
+def test_texts_are_hashed_once(spark, monkeypatch):
+    tables, real = {}, line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, tag: tables.setdefault(tag, df) and real(df, tag))
+    line_dedup._Lines(spark.createDataFrame([(1, "a\tB a\nc", "en", "s", 1)], DOCS), 80)
+    plan = tables["lines"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("AS text_hash")  # below, so before the lines
+
+
+def test_words_of_lines(spark):
+    texts = ["A b", "a\tb", "b\x0b\x0ca\r a", "  a  ", "", "\t\r"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = rows.select("i", F.size(line_dedup._keys(F.col("t"), F.array(F.lit(0).cast("long")))).alias("n"), line_dedup._words(F.col("t")).alias("w")).collect()
+    assert {r.i: r.n for r in got} == {0: 2, 1: 2, 2: 2, 3: 1, 4: 0, 5: 0}
+    assert {r.i: [w for w in r.w if w] for r in got} == {i: t.lower().split() for i, t in enumerate(texts)}
+
+
 def test_words_meet_once_and_at_alike_sizes(spark):
     """Of two classes with a common word the smaller looks it up among its first words only, and a frequent word meets alike sizes only."""
     prefix = lambda n: n - math.ceil(0.8 * n) + 1
