@@ -337,6 +337,34 @@ def test_words_meet_once_and_at_alike_sizes(spark):
             assert {(i, j) for i, j in at_first if 0 <= j - i and sizes[i] >= 0.8 * sizes[j]} <= set(met) and len(met) < 0.5 * len(at_first)
 
 
+def test_words_meet_in_few_rows(spark):
+    """A word goes with another size only where its place leaves that possible, and then it does."""
+    sizes = list(range(1, 42))
+    prefix = {n: n - math.ceil(0.8 * n) + 1 for n in sizes}
+    flags = spark.createDataFrame([(n, n, 0, 0, n, 0, 0, [7] * prefix[n], False) for n in sizes], "id long, n int, bits0 long, bits1 long, doc_id long, line int, rare int, prefix array<int>, settled boolean")
+    small, large = [x.collect() for x in line_dedup.word_sides(flags, 80)]
+    assert len(small) + len(large) < 2.2 * sum(prefix.values())
+    place = lambda r: (r.id, (r.packed & 0xFFFFFFFF) >> 1)
+    met = {(place(s), place(x)) for s in small for x in large if s.word == x.word}
+    for n in sizes:
+        for m in range(n, min(42, int(1.25 * n) + 1)):
+            for i in range(n - math.ceil(160 * n / 180) + 1):
+                assert {((n, i), (m, j)) for j in range(prefix[m]) if 180 * min(n - i, m - j) >= 80 * (n + m)} <= met
+
+
+def test_sketches_tell_long_lines_apart(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for common in [60] * 60 + [135] * 60:  # of 150 words
+        words = rng.integers(0, 1 << 62, 300 - common).tolist()
+        rows.append((common, words[:150], words[150 - common :]))
+    pairs = spark.createDataFrame(rows, "common int, keys_a array<long>, keys_b array<long>")
+    for x in "ab":
+        pairs = pairs.withColumn(f"n_{x}", F.size(f"keys_{x}")).withColumns({f"bits{i}_{x}": line_dedup._sketch(F.col(f"keys_{x}"), i) for i in (0, 1)})
+    possible = Counter(r.common for r in pairs.filter(line_dedup._possible("a", "b", 80)).collect())
+    assert possible[135] == 60 and possible[60] < 3
+
+
 def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
     rows = [(i, f"{i}a {i}b {i}c {i}d {i}e" if i > 1 else f"u v w x y z{i * ' more'}", "en", "s", 1) for i in range(400)]
     asked, build = [], line_dedup._Lines.verified
