@@ -1,6 +1,7 @@
 """Whole results of the operators against brute force, and the inputs that used to break them."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -119,6 +120,21 @@ def test_language_model_is_better_than_counts(spark):
     assert held_out[0] > 0.985 * held_out[1]
 
 
+def test_rare_words_are_shuffled_by_word_and_row_only(spark, monkeypatch):
+    """Words that aren't sent to the tasks meet their counts, however often a text has them, in one join."""
+    monkeypatch.setattr(language_model, "KNOWN", 3)
+    texts = {i: f"a a a b b c rare{i // 2} rare{i // 2} own{i} own{i} own{i}" for i in range(12)}
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], DOCS)
+    scored = language_model.score(docs, F.col("doc_id") >= 9)
+    assert not re.search(r"keys=\[row_id#\d+L?, word#", scored._jdf.queryExecution().executedPlan().toString())
+    counts = Counter(w for i, t in texts.items() if i < 9 for w in [*t.split(), "\n"])
+    n, v = sum(counts.values()), len(counts)
+    for r in scored.collect():
+        words = [*texts[r.doc_id].split(), "\n"]
+        assert (r.n_tokens, r.n_known) == (len(words), sum(w in counts for w in words))
+        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words), rel=1e-9)
+
+
 def test_odd_texts(spark, long_text):
     bad = spark.createDataFrame([(1, bytearray(b"good words \xff\xfe here")), (2, None)], "doc_id long, text binary").select("doc_id", F.col("text").cast("string").alias("text"), F.lit("en").alias("lang"), F.lit(1).alias("n_tokens"), F.lit(2).alias("unknown"))
     assert {r.doc_id: r.n_words for r in token_counts.count_tokens(bad).collect()} == {1: 4, 2: 0}

@@ -163,19 +163,23 @@ def _by_class(y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order[: ends[HEADS]], [(k, slice(ends[k], ends[k + 1])) for k in range(HEADS) if ends[k + 1] > ends[k]]
 
 
+def _row_sums(a: np.ndarray) -> np.ndarray:
+    return a @ np.ones(a.shape[1], a.dtype)  # faster than sum, as rows are short
+
+
 def _log_likelihood(w: dict, states: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class) and, in head classes, of P(word | class)."""
     kinds = _class_of(y)
     logits = states @ w["wc"]
     logits += w["bc"]
-    out = logits[np.arange(len(y)), kinds] - np.log(np.exp(logits, out=logits).sum(1))
+    out = logits[np.arange(len(y)), kinds] - np.log(_row_sums(np.exp(logits, out=logits)))
     order, classes = _by_class(y)
     own, place = states[order], y[order] % CLASS
     logits = np.empty((len(order), CLASS), np.float32)
     for k, at in classes:
         np.matmul(own[at], w["wo"][k], out=logits[at])
         logits[at] += w["bo"][k]
-    out[order] += logits[np.arange(len(order)), place] - np.log(np.exp(logits, out=logits).sum(1))
+    out[order] += logits[np.arange(len(order)), place] - np.log(_row_sums(np.exp(logits, out=logits)))
     return out
 
 
@@ -190,7 +194,7 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
     grad = {}
     p = flat @ w["wc"] + w["bc"]
     np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
+    p /= _row_sums(p)[:, None]
     p[np.arange(n), _class_of(target)] -= 1
     grad["wc"], grad["bc"] = flat.T @ p, p.sum(0)
     d_flat = p @ w["wc"].T
@@ -202,7 +206,7 @@ def _step(w: dict, past: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h
         np.matmul(own[at], w["wo"][k], out=q[at])
         q[at] += w["bo"][k]
     np.exp(q, out=q)
-    q /= q.sum(1, keepdims=True)
+    q /= _row_sums(q)[:, None]
     q[np.arange(len(order)), place] -= 1
     d_own = np.empty_like(own)
     for k, at in classes:
@@ -447,9 +451,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             yield out()
 
     scored = rows.drop("unknown", "order").mapInArrow(run, "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    rare = rows.select("row_id", F.explode("unknown").alias("word")).groupBy("row_id", "word").agg(F.count(F.lit(1)).alias("k")).join(counts.select("word", "c"), "word", "left")
+    rare = rows.select("row_id", F.explode("unknown").alias("word")).join(counts.select("word", "c"), "word", "left")  # few are there twice in a text
     c = F.coalesce("c", F.lit(0))
-    rare = rare.groupBy("row_id").agg(F.sum(F.col("k") * F.log10(c + 0.1)).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more_known"))
+    rare = rare.groupBy("row_id").agg(F.sum(F.log10(c + 0.1)).alias("more"), F.count_if(c > 0).alias("more_known"))
     out = scored.join(rare, "row_id", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(lexicon.n).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
