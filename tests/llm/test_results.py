@@ -381,6 +381,42 @@ def test_sketches_tell_long_lines_apart(spark):
     assert possible[135] == 60 and possible[60] < 3
 
 
+def test_line_table_does_little_per_word(spark, monkeypatch):
+    """A word takes one place of one sketch only, and classes of rarity are small numbers, of which Java shares the objects."""
+    tables, real = {}, line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, tag: tables.setdefault(tag, real(df, tag)))
+    docs = spark.createDataFrame([(i, f"w{i}\na{i} b{i} A{i}\n", "en", "s", 1) for i in range(200)], DOCS)
+    lines = line_dedup._Lines(docs, 80)
+    rows = tables["lines"].collect()
+    places = [(r.n, r.bits0.bit_count() if r.bits0 >= 0 else (r.bits0 & (1 << 64) - 1).bit_count(), r.bits1.bit_count() if r.bits1 >= 0 else (r.bits1 & (1 << 64) - 1).bit_count()) for r in rows]
+    assert Counter(n for n, *_ in places) == {0: 200, 1: 200, 2: 200}
+    assert {a + b for n, a, b in places if n < 2} == {0, 1} and {a + b for n, a, b in places if n == 2} <= {0, 2}
+    assert 50 < sum(a for n, a, _ in places if n == 1) < 150  # both halves are in use
+    monkeypatch.setattr(line_dedup, "COUNTED", 1)
+    assert max(line_dedup.rarity_classes(docs)) in range(1, 64)
+    assert lines.every.count() == 400
+
+
+def test_parts_of_the_words(spark):
+    """The parts hold each row once, and no word twice."""
+    rng = np.random.default_rng(4)
+    rows = [(i, n, 0, 0, i, 0, 0, rng.integers(-50, 50, n - math.ceil(0.8 * n) + 1).tolist(), False) for i, n in enumerate(range(1, 60))]
+    flags = spark.createDataFrame(rows, "id long, n int, bits0 long, bits1 long, doc_id long, line int, rare int, prefix array<int>, settled boolean")
+    whole = [Counter(map(tuple, x.collect())) for x in line_dedup.word_sides(flags, 80)]
+    parts = [[Counter(map(tuple, x.collect())) for x in line_dedup.word_sides(flags, 80, i, 2)] for i in range(2)]
+    assert [parts[0][k] + parts[1][k] for k in range(2)] == whole
+    words = [{r[0] for side in p for r in side} for p in parts]
+    assert all(words) and not words[0] & words[1]
+
+
+def test_lines_are_counted_once(spark):
+    """The number of lines comes with the lines; the report doesn't split the texts again."""
+    rows = [(1, "a b\n\nc"), (1, "a b\n\nc"), (2, None), (None, None), (None, "x\ny"), (3, "")]
+    out = line_dedup.line_report(spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS).repartition(3))
+    assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.doc_id or 0, r.n_lines) for r in out.collect()) == [(0, 0), (0, 2), (1, 3), (1, 3), (2, 0), (3, 1)]
+
+
 def test_only_texts_with_candidates_are_shuffled(spark, monkeypatch):
     rows = [(i, f"{i}a {i}b {i}c {i}d {i}e" if i > 1 else f"u v w x y z{i * ' more'}", "en", "s", 1) for i in range(400)]
     asked, build = [], line_dedup._Lines.verified
