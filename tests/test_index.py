@@ -60,6 +60,17 @@ def test_input_order_and_partitions_do_not_matter(spark):
     assert rows(i, r) == rows(i.orderBy(F.rand(1)).repartition(3), r.orderBy(F.rand(2)).repartition(5))
 
 
+def test_digests_without_references_keep_their_statistics(spark):
+    shot = "'http://h/' || d || '.png' as url, d as digest, 'image/png' as mime, 60 as width, 60 as height, 1L as size, 'w' as warc, 0L as warc_offset"
+    i = spark.sql(f"select 'a' as surt, ts, {shot} from values ('near', timestamp_ntz'2024-01-01'), ('far', timestamp_ntz'2024-03-01') as t(d, ts)")
+    r = spark.sql("select 'a' as surt, 'http://h/p' as page_url, timestamp_ntz'2024-01-01' as page_ts, 't' as img_title, '' as img_alt, '' as img_caption, 1 as images_in_page")
+    ix = index.build(i, r)
+    assert [x.digest for x in ix.digest_refs.collect()] == ["near"]
+    got = {x.digest: (x.matching_images, x.matching_pages, x.oldest_surt, x.image_metadata_changes, x.page_metadata_changes) for x in ix.digest_stats.collect()}
+    assert got == {"near": (2, 1, "a", 1, 1), "far": (2, 1, "a", 1, 1)}
+    assert {x.value for x in index.full_json(ix).filter("digest = 'far'").selectExpr("get_json_object(value, '$.oldestSurt') as value").collect()} == {"a"}
+
+
 def test_scalars(spark):
     t = spark.createDataFrame([("201001011200",), ("2010010112003099",), ("20100101120030",), ("bad",)], "s string")
     assert [str(r[0]) for r in t.select(parse_ts14(F.col("s"))).collect()] == ["2010-01-01 12:00:00", "2010-01-01 12:00:30", "2010-01-01 12:00:30", "None"]

@@ -66,8 +66,9 @@ def _digest_stats(surt_images: DataFrame, split: DataFrame, stats: DataFrame) ->
     # the first state may have no reference of its own among the split rows; then nothing is subtracted for it
     starts = sums.select("digest", F.col("first.surt").alias("start"))
     own = split.join(starts, (split["digest"] == starts["digest"]) & (split["surt"] == starts["start"])).groupBy(split["digest"]).agg(F.count_distinct("m").alias("own_m"))
-    out = sums.join(changes, "digest").join(own, "digest", "left")
-    return out.select("digest", "matching_images", "matching_pages", "oldest_surt", "oldest_surt_date", (F.col("first.image_metadata_changes") + F.col("all_m") - F.coalesce("own_m", F.lit(0))).alias("image_metadata_changes"), (F.col("first.page_metadata_changes") + F.col("page_changes")).alias("page_metadata_changes"))
+    # nor has every digest a reference that chose one of its captures; its images count all the same
+    out = sums.join(changes, "digest", "left").join(own, "digest", "left").fillna(0, ["all_m", "own_m", "page_changes"])
+    return out.select("digest", "matching_images", "matching_pages", "oldest_surt", "oldest_surt_date", (F.col("first.image_metadata_changes") + F.col("all_m") - F.col("own_m")).alias("image_metadata_changes"), (F.col("first.page_metadata_changes") + F.col("page_changes")).alias("page_metadata_changes"))
 
 
 def compact(ix: Index) -> DataFrame:
