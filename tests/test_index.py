@@ -136,6 +136,42 @@ def test_recaptured_pages_keep_their_own_references(spark, tmp_path):
         webarchive.read_archives(spark, str(tmp_path), "FAILFAST").count()
 
 
+def test_counters_read_the_records_once(spark):
+    plan = catalog.QUERIES["counters_extraction"](spark, D)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_counters_of_odd_records(spark):
+    png = lambda w, h, tail=b"": "data:image/png;base64," + base64.b64encode(synthetic.png(w, h, tail)).decode()
+    page = f"<title>caf\u00e9</title><img src='/a.png' alt='x'><img src='{png(60, 70)}'><img src='{png(9, 70)}'><img src='data:image/png,%00'><a href='b.gif'>b</a><style>p {{ background: url('{png(80, 80)}'); x: url(/c.gif) }}</style>"
+    twice = page.encode().decode("latin-1")
+    at, h = synthetic._ts(0), "http://h.example"
+    records = [synthetic.warc_record(f"{h}/p", at, "text/html", page.encode()), synthetic.warc_record(f"{h}/q", at, "text/html", twice.encode()), synthetic.warc_record(f"{h}/{'l' * 10_001}", at, "text/html", page.encode()), synthetic.warc_record(f"{h}/none", at, "text/html", b"<p>")]
+    records += [synthetic.warc_record(f"{h}/{i}.png", at, "image/gif", synthetic.png(*sides, b"t")) for i, sides in enumerate([(60, 70), (60, 70), (9, 70), (16_000, 16_000)])]
+    records += [synthetic.warc_record(f"{h}/0.png", at, "image/png", synthetic.png(60, 70, b"t")), synthetic.warc_record(f"{h}/x.png", at, "image/png", b"?"), synthetic.warc_record(f"{h}/both", at, "image/svg,text/html", page.encode()), records[0].replace(b"WARC-Date: 2024", b"WARC-Date: none")]
+    whole = b"".join(records)
+    found = webarchive.read_contents(spark.createDataFrame([("a.warc", bytearray(whole)), ("b.warc", bytearray(whole + b"junk")), ("a.warc", bytearray(whole))], "name string, content binary"))
+    pages, kept = archives.pages_of(found), ("archive_name", "record_type", "mime")
+    refs = archives.references_of(pages)
+    images, refs, pages, found = (x.collect() for x in (archives.captures_of(found, refs), refs, pages, found.select(*kept)))
+    assert sum(p.repaired for p in pages) == 3 and any(r.is_inline for r in refs)
+    n = {"small": 0, "small64": 0, "good": [], "large": 0}
+    for i in images:
+        if i.width is not None and min(i.width, i.height) < 51:
+            n["small64" if i.url.startswith("hash:") else "small"] += 1
+        elif i.width is not None and i.width * i.height > 225_000_000:
+            n["large"] += 1
+        elif i.width is not None:
+            n["good"].append((i.warc, i.surt, i.digest))
+    by_page = {(r.page_url, r.page_ts, r.warc, r.warc_offset): r.images_in_page for r in refs}
+    assert {r.counter: r.value for r in archives.extraction_counters(webarchive.read_contents(spark.createDataFrame([("a.warc", bytearray(whole)), ("b.warc", bytearray(whole + b"junk")), ("a.warc", bytearray(whole))], "name string, content binary"))).collect()} == {
+        "WARCS": 2, "WARCS_DOWNLOAD_ERROR": 0, "WARCS_FAILED_STREAM": 1, "RECORDS_READ": 36, "RECORDS_FAILED": 0, "IMAGES_IN_WARC_TOTAL": 21, "IMAGES_IN_WARC_FAILED": sum(i.width is None for i in images), "IMAGES_IN_WARC_TOO_SMALL_BASE64": n["small64"], "IMAGES_IN_WARC_TOO_SMALL": n["small"],
+        "IMAGES_IN_WARC_TOO_LARGE": n["large"], "IMAGES_IN_WARC_MIME_INVALID": sum(i.mime_detected == "" for i in images), "IMAGES_IN_WARC_MIME_WRONG": sum(i.mime_detected not in ("", i.mime_reported or "") for i in images), "IMAGES_IN_WARC_PARSED_DUP": len(n["good"]), "IMAGES_IN_WARC_PARSED": len(set(n["good"])),
+        "IMAGES_IN_HTML_MATCHING": len(refs), "IMAGES_IN_HTML_MATCHING_LINK": sum(r.tag == "a" for r in refs), "IMAGES_IN_HTML_MATCHING_CSS": sum(r.tag == "css" for r in refs), "IMAGES_IN_HTML_BASE64": sum(r.is_inline for r in refs), "IMAGES_IN_HTML_SENT_DUP": len(refs), "IMAGES_IN_HTML_SENT": len({(r.warc, r.surt, r.img_title, r.img_alt, r.img_caption) for r in refs}),
+        "PAGES_WITH_IMAGES": len(by_page), "IMAGES_IN_HTML_TOTAL": sum(by_page.values()), "IMAGES_IN_HTML_EXCEDED": 0, "IMAGES_IN_HTML_NOT_PARSED": 0, "PAGES": len(pages), "PAGE_UTF8_MISMATCH_DOUBLE": 3,
+    }
+
+
 def test_listed_archives(spark, tmp_path):
     (tmp_path / "a.arc").write_bytes(synthetic.arc_of(0, "<html></html>"))
     (tmp_path / "list.txt").write_text(f"\n{tmp_path}/a.arc\n\nfile://{tmp_path}/none.warc.gz\n")

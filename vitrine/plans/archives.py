@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +13,10 @@ from vitrine.functions.text import fix_mojibake
 from vitrine.functions.time import parse_ts14
 from vitrine.functions.url import host, image_filename, protocol, to_surt, too_long, url_tokens, with_scheme
 from vitrine.operators.groups import LEAST_SIDE, MOST_AREA
-from vitrine.operators.html_refs import MOST_IMAGES, html_references
-from vitrine.operators.image_probe import inline_bytes, probed
+from vitrine.operators.html_refs import MOST_IMAGES, html_references, page_references
+from vitrine.operators.image_probe import inline_bytes, probe_one, probed
 from vitrine.plans.index import index
-from vitrine.sources.webarchive import FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD, archive_list, html_records, image_records, read_archives, read_listed
+from vitrine.sources.webarchive import FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD, LOT_BYTES, LOT_ROWS, archive_list, arrow_batch, arrow_schema, html_records, image_records, is_html, is_image, read_archives, read_listed
 
 
 def page_text(payload: Column) -> Column:
@@ -43,9 +46,11 @@ def references_of(pages: DataFrame) -> DataFrame:
 def captures_of(records: DataFrame, refs: DataFrame) -> DataFrame:
     """Stored and inline images with type, sides (null if they can't be read), digest and bytes."""
 
-    @F.pandas_udf("mime string, payload binary")
-    def opened(data: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([inline_bytes(d) for d in data], columns=["mime", "payload"])
+    schema = "mime string, payload binary"
+
+    @F.arrow_udf(schema)
+    def opened(data: pa.Array) -> pa.Array:
+        return arrow_batch([inline_bytes(d.as_py()) for d in data], arrow_schema(schema)).to_struct_array()
 
     where = ("warc", "warc_offset")
     inline = refs.filter("is_inline").withColumn("o", opened("inline_data")).select(F.col("img_url").alias("url"), F.col("page_ts").alias("ts"), F.col("o.mime").alias("mime"), F.col("o.payload").alias("payload"), *where)
@@ -60,39 +65,82 @@ def extract(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return captures_of(records, refs).filter("width is not null"), refs.drop("inline_data")
 
 
+FACTS = "kind string, archive_name string, record_type string, stored boolean, page boolean, repaired boolean, page_url string, page_ts timestamp_ntz, warc_offset long, found int, images_in_page int, url string, img_title string, img_alt string, img_caption string, tag string, is_inline boolean, mime_reported string, mime_detected string, width int, height int, digest string"
+
+
+def _facts(records: DataFrame) -> DataFrame:
+    """What the counters count, in one reading of the records: a row for each record, page with references, reference and image."""
+    schema = arrow_schema(FACTS)
+    names = schema.names
+
+    def of_one(r: dict) -> Iterator[dict]:
+        name = r["archive_name"]
+        yield {"kind": "record", "archive_name": name, "record_type": r["record_type"], "stored": r["stored"], "page": r["page"], "repaired": r["repaired"]}
+
+        def image(url: str, mime: str | None, data: bytes) -> dict:
+            return {"kind": "image", "archive_name": name, "url": url, "mime_reported": mime} | dict(zip(("mime_detected", "width", "height"), probe_one(data, mime))) | {"digest": hashlib.sha256(data).hexdigest()}
+
+        if r["image"] is not None:
+            yield image(r["target_url"], r["mime"], r["image"])
+        found = page_references(r["html"], r["page_url"]) if r["html"] is not None and r["page_url"] is not None else []
+        for _, _, _, url, title, alt, caption, tag, is_inline, data in found:
+            yield {"kind": "reference", "archive_name": name, "url": url, "img_title": title, "img_alt": alt, "img_caption": caption, "tag": tag, "is_inline": is_inline}
+            if is_inline:
+                yield image(url, *inline_bytes(data))
+        if found:
+            yield {"kind": "page", "archive_name": name, "page_url": found[0][0], "page_ts": r["page_ts"], "warc_offset": r["offset"], "found": len(found), "images_in_page": found[0][2]}
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in parts:
+            for i in range(part.num_rows):
+                r = {n: part[n][i].as_py() for n in part.schema.names}
+                held += [tuple(map(x.get, names)) for x in of_one(r)]
+                size += len(r["image"] or b"") + len(r["html"] or "")
+                if len(held) >= LOT_ROWS or size >= LOT_BYTES:
+                    yield arrow_batch(held, schema)
+                    held, size = [], 0
+        if held:
+            yield arrow_batch(held, schema)
+
+    page_ts = parse_ts14(F.col("ts14"))
+    one = records.select("archive_name", "offset", "record_type", "target_url", "mime", page_ts.alias("page_ts"), F.coalesce(is_image(), F.lit(False)).alias("stored"), F.coalesce(is_html() & page_ts.isNotNull(), F.lit(False)).alias("page"), F.col("payload").alias("body"))
+    one = one.withColumns({"image": F.when(F.col("stored") & F.col("page_ts").isNotNull(), F.col("body")), "payload": F.when(F.col("page"), F.col("body"))}).withColumn("raw_html", page_text(F.col("payload")))
+    one = one.withColumn("html", fix_mojibake(F.col("raw_html"))).withColumn("repaired", F.col("html") != F.col("raw_html")).withColumn("page_url", with_scheme(F.col("target_url")))
+    return one.drop("body", "payload", "raw_html").mapInArrow(run, FACTS)
+
+
 def extraction_counters(records: DataFrame) -> DataFrame:
-    """The counters of the extraction (counter, value): what was read, found, kept, and lost on the way."""
-    pages = pages_of(records)
-    refs = references_of(pages)
-    images = captures_of(records, refs)
-    one = F.lit(1)
-    kind = F.col("record_type")
-    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
-    read = {
-        "WARCS": F.count_distinct("archive_name"), "WARCS_DOWNLOAD_ERROR": count(kind == FAILED_DOWNLOAD), "WARCS_FAILED_STREAM": count(kind == FAILED_ARCHIVE),
-        "RECORDS_READ": count(~kind.isin(FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD)), "RECORDS_FAILED": count(kind == FAILED), "IMAGES_IN_WARC_TOTAL": count(F.col("mime").contains("image") & F.col("payload").isNotNull()),
-    }
+    """The counters of the extraction (counter, value): what was read, found, kept, and lost on the way. The records are read once."""
+    facts = _facts(records)
+    kind, of, tag = F.col("record_type"), F.col("kind"), F.col("tag")
     w, h = F.col("width").cast("long"), F.col("height").cast("long")
     small, inline = (w < LEAST_SIDE) | (h < LEAST_SIDE), F.col("url").startswith("hash:")
     good = w.isNotNull() & ~small & (w * h <= MOST_AREA)
-    held = {
-        "IMAGES_IN_WARC_FAILED": count(w.isNull()), "IMAGES_IN_WARC_TOO_SMALL_BASE64": count(small & inline), "IMAGES_IN_WARC_TOO_SMALL": count(small & ~inline), "IMAGES_IN_WARC_TOO_LARGE": count(~small & (w * h > MOST_AREA)),
-        "IMAGES_IN_WARC_MIME_INVALID": count(F.col("mime_detected") == ""), "IMAGES_IN_WARC_MIME_WRONG": count((F.col("mime_detected") != "") & (F.col("mime_detected") != F.coalesce("mime_reported", F.lit("")))),
-        "IMAGES_IN_WARC_PARSED_DUP": count(good), "IMAGES_IN_WARC_PARSED": F.count_distinct(F.when(good, F.struct("warc", "surt", "digest"))),
+    rows = {
+        "record": {
+            "WARCS_DOWNLOAD_ERROR": kind == FAILED_DOWNLOAD, "WARCS_FAILED_STREAM": kind == FAILED_ARCHIVE, "RECORDS_READ": ~kind.isin(FAILED, FAILED_ARCHIVE, FAILED_DOWNLOAD), "RECORDS_FAILED": kind == FAILED,
+            "IMAGES_IN_WARC_TOTAL": F.col("stored"), "PAGES": F.col("page"), "PAGE_UTF8_MISMATCH_DOUBLE": F.col("repaired"),
+        },
+        "image": {
+            "IMAGES_IN_WARC_FAILED": w.isNull(), "IMAGES_IN_WARC_TOO_SMALL_BASE64": small & inline, "IMAGES_IN_WARC_TOO_SMALL": small & ~inline, "IMAGES_IN_WARC_TOO_LARGE": ~small & (w * h > MOST_AREA),
+            "IMAGES_IN_WARC_MIME_INVALID": F.col("mime_detected") == "", "IMAGES_IN_WARC_MIME_WRONG": (F.col("mime_detected") != "") & (F.col("mime_detected") != F.coalesce("mime_reported", F.lit(""))), "IMAGES_IN_WARC_PARSED_DUP": good,
+        },
+        "reference": {"IMAGES_IN_HTML_MATCHING": F.lit(True), "IMAGES_IN_HTML_MATCHING_LINK": tag == "a", "IMAGES_IN_HTML_MATCHING_CSS": tag == "css", "IMAGES_IN_HTML_BASE64": F.col("is_inline"), "IMAGES_IN_HTML_SENT_DUP": F.lit(True)},
     }
-    tag = F.col("tag")
-    per_page = refs.groupBy("page_url", "page_ts", "warc", "warc_offset").agg(F.first("images_in_page").alias("n"), F.count(one).alias("found"))
-    found = {
-        "IMAGES_IN_HTML_MATCHING": count(one == 1), "IMAGES_IN_HTML_MATCHING_LINK": count(tag == "a"), "IMAGES_IN_HTML_MATCHING_CSS": count(tag == "css"), "IMAGES_IN_HTML_BASE64": count(F.col("is_inline")),
-        "IMAGES_IN_HTML_SENT_DUP": count(one == 1), "IMAGES_IN_HTML_SENT": F.count_distinct(F.struct("warc", "surt", "img_title", "img_alt", "img_caption")),
+    count = {name: F.count_if((of == k) & c) for k, names in rows.items() for name, c in names.items()}
+    surt = F.when(of.isin("image", "reference"), to_surt(F.col("url")))
+    # groups of all kinds in one shuffle, in place of a distinct count for each: archives, fit images, texts of references, pages
+    group = ["group", "archive_name", "surt", "digest", "img_title", "img_alt", "img_caption", "page_url", "page_ts", "warc_offset"]
+    fit = F.when((of == "image") & ~F.coalesce(good, F.lit(False)), "unfit").otherwise(of)
+    keyed = facts.withColumns({"group": fit, "surt": surt}).withColumn("digest", F.when(F.col("group") == "image", F.col("digest"))).withColumn("surt", F.when(F.col("group") != "unfit", F.col("surt")))
+    groups = keyed.groupBy(*group).agg(*[c.alias(name) for name, c in count.items()], F.max("images_in_page").cast("long").alias("n"))
+    of, n = F.col("group"), F.when(F.col("group") == "page", F.col("n"))
+    out = {name: F.sum(name) for name in count} | {
+        "WARCS": F.count_if((of == "record") & F.col("archive_name").isNotNull()), "IMAGES_IN_WARC_PARSED": F.count_if(of == "image"), "IMAGES_IN_HTML_SENT": F.count_if(of == "reference"), "PAGES_WITH_IMAGES": F.count_if(of == "page"),
+        "IMAGES_IN_HTML_TOTAL": F.sum(n), "IMAGES_IN_HTML_EXCEDED": F.count_if(n > MOST_IMAGES), "IMAGES_IN_HTML_NOT_PARSED": F.sum(F.greatest(n - MOST_IMAGES, F.lit(0))),
     }
-    with_images = {"PAGES_WITH_IMAGES": count(F.col("found") > 0), "IMAGES_IN_HTML_TOTAL": F.coalesce(F.sum("n"), F.lit(0)), "IMAGES_IN_HTML_EXCEDED": count(F.col("n") > MOST_IMAGES), "IMAGES_IN_HTML_NOT_PARSED": F.coalesce(F.sum(F.greatest(F.col("n") - MOST_IMAGES, F.lit(0))), F.lit(0))}
-    whole = {"PAGES": count(one == 1), "PAGE_UTF8_MISMATCH_DOUBLE": count(F.col("repaired"))}
-    out = None
-    for df, names in ((records, read), (images, held), (refs, found), (per_page, with_images), (pages, whole)):
-        part = df.agg(*[c.cast("long").alias(k) for k, c in names.items()]).unpivot([], list(names), "counter", "value")
-        out = part if out is None else out.union(part)
-    return out
+    return groups.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in out.items()]).unpivot([], list(out), "counter", "value")
 
 
 def index_archives(spark: SparkSession, path: str, mode: str = "COMPACT") -> DataFrame:

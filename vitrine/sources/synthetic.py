@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime
 import gzip
 import struct
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.sources.webarchive import arrow_schema, lots
+
 #: The same views in DuckDB's SQL, as common table expressions.
 SQL = """
 img as (select source as surt, 'http://' || source || '.example/' || (doc_id % 7)::varchar || '.jpg' as url,
@@ -91,11 +94,12 @@ def arc_of(i: int, html: str) -> bytes:
 
 def archives(spark: SparkSession, sf_dir: str, kind: str = "warc") -> DataFrame:
     """(name, content): an archive for each page; WARC archives of the last third of every 30 pages have junk at their end."""
-    made = warc_of if kind == "warc" else arc_of
+    made, schema = warc_of if kind == "warc" else arc_of, "name string, content binary"
+
+    def one(i: int, html: str) -> tuple[str, bytes]:
+        return f"a{i}.{kind}.gz" if kind == "warc" else f"a{i}.arc", made(i, html) + (b"junk" if kind == "warc" and i % 30 >= 20 else b"")
 
-    def run(parts):
-        for pdf in parts:
-            rows = [(f"a{i}.{kind}.gz" if kind == "warc" else f"a{i}.arc", made(int(i), h) + (b"junk" if kind == "warc" and i % 30 >= 20 else b"")) for i, h in zip(pdf["page_id"], pdf["html"])]
-            yield pd.DataFrame(rows, columns=["name", "content"])
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from lots((one(i.as_py(), h.as_py()) for part in parts for i, h in zip(part["page_id"], part["html"])), arrow_schema(schema))
 
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").mapInPandas(run, "name string, content binary")
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").mapInArrow(run, schema)
