@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).parents[1]))
 from vitrine import catalog
 from vitrine.functions.time import iso_to_ts14, magnitude, parse_ts14
 from vitrine.functions.url import image_filename, to_surt
-from vitrine.operators import groups
+from vitrine.operators import groups, html_refs
 from vitrine.operators.html_refs import page_references
 from vitrine.plans import archives, index
 from vitrine.sources import synthetic, webarchive
@@ -172,6 +173,27 @@ def test_counters_of_odd_records(spark):
     }
 
 
+class _Steps:
+    """Stands for a DataFrame; keeps what a step would run in a Python worker."""
+
+    schema = ()
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, f, _):  # noqa: N802
+        return f
+
+
+def test_workers_hand_on_small_batches():
+    some = b"".join(synthetic.warc_record(f"http://h.example/{i}", synthetic._ts(i), "text/html", b"x" * 100_000) for i in range(50))
+    contents = pa.RecordBatch.from_pydict({"name": [f"{i}.warc" for i in range(10)] + [f"{i}.arc" for i in range(500)], "content": [some] * 10 + [synthetic.arc_of(1, "<html>")] * 500})
+    sizes = [(b.num_rows, b.nbytes) for b in webarchive.read_contents(_Steps())(iter([contents]))]
+    assert sum(n for n, _ in sizes) == 1000 and max(n for n, _ in sizes) == 200 and max(size for _, size in sizes) < 5_000_000 and len(sizes) < 20
+    pages = pa.RecordBatch.from_pydict({"page_url": ["http://h.example/p"] * 3000 + [None], "html": ["<img src='/a.png'>"] * 3000 + [PARENT]})
+    assert [b.num_rows for b in html_refs.html_references(_Steps())(iter([pages]))] == [200] * 15
+
+
 def test_listed_archives(spark, tmp_path):
     (tmp_path / "a.arc").write_bytes(synthetic.arc_of(0, "<html></html>"))
     (tmp_path / "list.txt").write_text(f"\n{tmp_path}/a.arc\n\nfile://{tmp_path}/none.warc.gz\n")
