@@ -194,6 +194,13 @@ def test_workers_hand_on_small_batches():
     assert [b.num_rows for b in html_refs.html_references(_Steps())(iter([pages]))] == [200] * 15
 
 
+def test_captures_take_few_steps_in_python(spark):
+    images, _ = archives.extract(catalog._records(spark, D))
+    plan = images._jdf.queryExecution().executedPlan().toString()
+    # archives, records and sides of stored images; pages with inline ones have one more, by which these are found
+    assert plan.count("MapInArrow") == 5 and plan.count("ArrowEvalPython") == 1
+
+
 def test_listed_archives(spark, tmp_path):
     (tmp_path / "a.arc").write_bytes(synthetic.arc_of(0, "<html></html>"))
     (tmp_path / "list.txt").write_text(f"\n{tmp_path}/a.arc\n\nfile://{tmp_path}/none.warc.gz\n")

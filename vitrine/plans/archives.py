@@ -45,17 +45,10 @@ def references_of(pages: DataFrame) -> DataFrame:
 
 def captures_of(records: DataFrame, refs: DataFrame) -> DataFrame:
     """Stored and inline images with type, sides (null if they can't be read), digest and bytes."""
-
-    schema = "mime string, payload binary"
-
-    @F.arrow_udf(schema)
-    def opened(data: pa.Array) -> pa.Array:
-        return arrow_batch([inline_bytes(d.as_py()) for d in data], arrow_schema(schema)).to_struct_array()
-
     where = ("warc", "warc_offset")
-    inline = refs.filter("is_inline").withColumn("o", opened("inline_data")).select(F.col("img_url").alias("url"), F.col("page_ts").alias("ts"), F.col("o.mime").alias("mime"), F.col("o.payload").alias("payload"), *where)
-    stored = image_records(records).select(F.col("target_url").alias("url"), parse_ts14(F.col("ts14")).alias("ts"), "mime", "payload", F.col("archive_name").alias("warc"), F.col("offset").alias("warc_offset"))
-    images = probed(stored.unionByName(inline).filter("ts is not null"))
+    inline = refs.filter("is_inline").select(F.col("img_url").alias("url"), F.col("page_ts").alias("ts"), F.lit(None).cast("string").alias("mime"), F.lit(None).cast("binary").alias("payload"), *where, "inline_data")
+    stored = image_records(records).select(F.col("target_url").alias("url"), parse_ts14(F.col("ts14")).alias("ts"), "mime", "payload", F.col("archive_name").alias("warc"), F.col("offset").alias("warc_offset"), F.lit(None).cast("string").alias("inline_data"))
+    images = probed(stored.unionByName(inline).filter("ts is not null"), inline="inline_data")
     return images.withColumns({"surt": to_surt(F.col("url")), "image_url_hash": F.md5("url"), "mime_reported": F.col("mime"), "mime": F.coalesce(F.nullif("mime_detected", F.lit("")), "mime")}).withColumnRenamed("payload", "bytes")
 
 
